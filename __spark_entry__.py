@@ -224,7 +224,7 @@ def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored predictions from one logistic model per horizon."""
+    """Stored predictions from one model per horizon."""
     df = tables.smart_daily(spark, sf_dir)
     table = settle(_training(df), "training")
     requests = _requests(df)
@@ -232,9 +232,9 @@ def _two_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = []
     for target in ("will_fail_30d", "will_fail_60d"):
         matrix = learning.with_split(features.training_matrix(table, target)).where(F.col("split") == "train")
-        model = learning.train(matrix, "logistic")
+        model = learning.train(matrix, "forest", rounds=CHECK_ROUNDS)
         scored.append(scoring.score_batch(requests, scoring.model_scorer(model), day))
-    return rounded(scoring.prediction_rows(*scored, day, "logistic").drop("created_at"))
+    return rounded(scoring.prediction_rows(*scored, day, "forest").drop("created_at"))
 
 
 def _model_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,9 +262,9 @@ SOURCES: dict[str, Query] = {
     "S6_incremental_load": _stream_round_trip,
     "S7_unique_rows": lambda s, d: tables.smart_daily(s, d),
     "S7_surplus_rows": raw(
-        lambda df: keys.surplus_rows(df, SNAPSHOT_KEY, tables.TIE_BREAK).select(
-            *SNAPSHOT_KEY, *tables.TIE_BREAK, "copies"
-        )
+        lambda df: keys.surplus_rows(
+            df, SNAPSHOT_KEY, tables.TIE_BREAK, settle(keys.repeated_keys(df, SNAPSHOT_KEY), "repeated-keys")
+        ).select(*SNAPSHOT_KEY, *tables.TIE_BREAK, "copies")
     ),
     "S8_load_totals": _load_totals,
     "S10_training_round_trip": _training_round_trip,

@@ -3,32 +3,47 @@
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 
-def one_row_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that occur more than once. Counts only the key columns, map-side first."""
+    return df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys)
+
+
+def one_row_per_key(
+    df: DataFrame, keys: list[str], order: list[str], repeated: DataFrame | None = None
+) -> DataFrame:
     """Keep the first row of every key in ``order``; remaining columns break ties.
 
     Spark limits a ``row_number() = 1`` filter to one row per key in every map task
     before the shuffle, so a key with very many copies costs no more than any other.
+    With the ``repeated`` keys at hand, stored so that their size is known, only their
+    rows are sorted; all others pass through.
     """
+    if repeated is not None:
+        several = df.join(repeated, keys, "left_semi").select(*df.columns)
+        single = df.join(repeated, keys, "left_anti").select(*df.columns)
+        return single.unionByName(one_row_per_key(several, keys, order))
     rest = order + [c for c in df.columns if c not in keys and c not in order]
     w = W.partitionBy(*keys).orderBy(*rest)
     return df.withColumn("_row", F.row_number().over(w)).where("_row = 1").drop("_row")
 
 
-def surplus_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def surplus_rows(
+    df: DataFrame, keys: list[str], order: list[str], repeated: DataFrame | None = None
+) -> DataFrame:
     """The rows ``one_row_per_key`` leaves out, with ``copies`` of each.
 
-    Equal rows are folded into one with their count before the shuffle.
+    Works on the rows of repeated keys only. Equal rows are folded into one with their
+    count before the shuffle.
     """
+    if repeated is None:
+        repeated = repeated_keys(df, keys)
+    rows = df.join(repeated, keys, "left_semi").select(*df.columns)
     rest = order + [c for c in df.columns if c not in keys and c not in order]
-    kept = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"), F.min(F.struct(*rest)).alias("_first"))
-        .where("_rows > 1")
-    )
-    folded = df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
+    folded = rows.groupBy(*df.columns).agg(F.count("*").alias("copies"))
+    first = folded.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"))
     is_kept = F.struct(*rest).eqNullSafe(F.col("_first"))
     return (
-        folded.join(kept, keys)
+        folded.join(first, keys)
         .withColumn("copies", F.col("copies") - is_kept.cast("long"))
         .where("copies > 0")
         .select(*df.columns, "copies")

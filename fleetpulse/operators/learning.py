@@ -20,6 +20,8 @@ ROUNDS = 200
 DEPTH = 6
 LEARNING_RATE = 0.1
 LOGISTIC_ITERATIONS = 1000
+LOGISTIC_TOLERANCE = 1e-5
+LOGISTIC_PENALTY = 1.0
 SEED = 42
 
 
@@ -85,14 +87,18 @@ def weighted(df: DataFrame, kind: str) -> DataFrame:
     return df.withColumn("weight", F.when(F.col("label") == 1, scale).otherwise(F.lit(1.0)))
 
 
-def classifier(kind: str, rounds: int = ROUNDS, seed: int = SEED):
+def classifier(kind: str, samples: int, rounds: int = ROUNDS, seed: int = SEED):
+    """An unfitted classifier; the logistic penalty is per data set, so it is spread over ``samples``."""
     settings = dict(featuresCol="features", labelCol="label", weightCol="weight")
     if kind == "boosted":
         return GBTClassifier(maxIter=rounds, maxDepth=DEPTH, stepSize=LEARNING_RATE, seed=seed, **settings)
     if kind == "forest":
         return RandomForestClassifier(numTrees=rounds, maxDepth=DEPTH, seed=seed, **settings)
     if kind == "logistic":
-        return LogisticRegression(maxIter=LOGISTIC_ITERATIONS, regParam=0.0, standardization=False, **settings)
+        return LogisticRegression(
+            maxIter=LOGISTIC_ITERATIONS, tol=LOGISTIC_TOLERANCE, regParam=LOGISTIC_PENALTY / samples,
+            standardization=False, **settings,
+        )
     raise ValueError(f"unknown classifier {kind!r}")
 
 
@@ -103,7 +109,7 @@ def train(
     steps = [
         VectorAssembler(inputCols=columns, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-        classifier(kind, rounds),
+        classifier(kind, df.count(), rounds),
     ]
     return Pipeline(stages=steps).fit(weighted(df, kind))
 

@@ -13,9 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window as W
 
 from fleetpulse.functions.ordered import row_numbers
-from fleetpulse.operators.keys import one_row_per_key
+from fleetpulse.operators.keys import one_row_per_key, repeated_keys
 from fleetpulse.schema import SNAPSHOT, SNAPSHOT_KEY
-from fleetpulse.session import shared_folder
+from fleetpulse.session import settle, shared_folder
 
 BYTES_PER_BUCKET = 256 * 1024 * 1024
 MAX_BUCKETS = 100_000  # the most Spark accepts
@@ -91,8 +91,11 @@ def smart_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def store(name: str, path: str) -> None:
         buckets = bucket_count(spark, os.path.join(sf_dir, "lineitem.parquet"))
+        readings = smart_raw(spark, sf_dir)
+        repeated = settle(repeated_keys(readings, SNAPSHOT_KEY), "repeated-keys")
         (
-            smart_daily_plan(spark, sf_dir)
+            one_row_per_key(readings, SNAPSHOT_KEY, TIE_BREAK, repeated)
+            .select(*SNAPSHOT.fieldNames())
             .repartition(buckets, "serial_number")
             .write.bucketBy(buckets, "serial_number")
             .sortBy("serial_number", "date")
