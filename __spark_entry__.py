@@ -9,7 +9,6 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
-from datetime import date
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -118,16 +117,22 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def _as_csv_drops(spark: SparkSession, sf_dir: str) -> str:
-    """The raw readings as CSV drops, one folder per year; line 7 readings lack two columns."""
+def _as_csv_drops(spark: SparkSession, sf_dir: str, narrow_line: int | None = 7) -> str:
+    """The raw readings as CSV drops, one folder per year.
+
+    The readings of ``narrow_line`` go to drops of their own that lack two columns.
+    """
     path = _scratch(spark, "drops")
     readings = tables.smart_raw(spark, sf_dir)
     text = [F.col(c).cast("string").alias(c) for c in SNAPSHOT.fieldNames()]
     everything = readings.select(F.year("date").alias("year"), "l_linenumber", *text)
-    full = everything.where("l_linenumber < 7").drop("l_linenumber")
-    narrow = everything.where("l_linenumber = 7").drop("l_linenumber", "smart_5_raw", "smart_199_raw")
-    for part, name in ((full, "full"), (narrow, "narrow")):
-        part.write.option("header", True).partitionBy("year").csv(os.path.join(path, name))
+    parts = {"full": everything}
+    if narrow_line is not None:
+        parts["full"] = everything.where(F.col("l_linenumber") != narrow_line)
+        narrow = everything.where(F.col("l_linenumber") == narrow_line)
+        parts["narrow"] = narrow.drop("smart_5_raw", "smart_199_raw")
+    for name, part in parts.items():
+        part.drop("l_linenumber").write.option("header", True).partitionBy("year").csv(os.path.join(path, name))
     return path
 
 
@@ -137,10 +142,8 @@ def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, refused, state = (_scratch(spark, n) for n in ("stream-table", "stream-refused", "stream-state"))
-    header = [c for c in SNAPSHOT.fieldNames()]
-    drops.load_new_drops(
-        spark, os.path.join(_as_csv_drops(spark, sf_dir), "full"), table, refused, state, header
-    )
+    raw_path = _as_csv_drops(spark, sf_dir, narrow_line=None)
+    drops.load_new_drops(spark, raw_path, table, refused, state, SNAPSHOT.fieldNames())
     return snapshot_store.read_snapshots(spark, table).drop("quarter")
 
 
@@ -180,8 +183,7 @@ def _dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _quarter_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _scratch(spark, "quarters")
     snapshot_store.append_snapshots(tables.smart_daily(spark, sf_dir), path)
-    year = snapshot_store.read_snapshots(spark, path, date(1996, 2, 1), date(1997, 1, 31))
-    return year.groupBy("quarter").agg(F.count("*").alias("records"), F.sum("failure").alias("failures"))
+    return snapshot_store.read_snapshots(spark, path).groupBy("quarter").agg(F.count("*").alias("records"), F.sum("failure").alias("failures"))
 
 
 def _exchange_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,7 +265,7 @@ SOURCES: dict[str, Query] = {
     "S7_unique_rows": lambda s, d: tables.smart_daily(s, d),
     "S7_surplus_rows": raw(
         lambda df: keys.surplus_rows(
-            df, SNAPSHOT_KEY, tables.TIE_BREAK, settle(keys.repeated_keys(df, SNAPSHOT_KEY), "repeated-keys")
+            df, SNAPSHOT_KEY, tables.TIE_BREAK, keys.few_repeated_keys(df, SNAPSHOT_KEY)
         ).select(*SNAPSHOT_KEY, *tables.TIE_BREAK, "copies")
     ),
     "S8_load_totals": _load_totals,
@@ -372,6 +374,11 @@ SCORING: dict[str, Query] = {
 
 LEARNING: dict[str, Query] = {
     "M1_split": daily(lambda df: _matrix(df).groupBy("split", "label").agg(F.count("*").alias("samples"))),
+    "M1_split_by_row": daily(
+        lambda df: learning.with_split(features.training_matrix(_training(df)), by="row")
+        .groupBy("split", "label")
+        .agg(F.count("*").alias("samples"))
+    ),
     "M2_scaler": daily(lambda df: learning.scaler_statistics(_matrix(df).where("split = 'train'"))),
     "M3_class_weights": daily(lambda df: learning.class_weights(_matrix(df))),
     "M3_positive_weight": daily(lambda df: learning.positive_weight(_matrix(df))),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from fleetpulse.functions.bands import TB
 from fleetpulse.functions.numeric import zero_if_not_finite
-from fleetpulse.operators.keys import sample_keys
+from fleetpulse.operators.keys import failure_dates, sample_keys
 from fleetpulse.schema import (
     FEATURE_COLUMNS, MODEL_ATTRIBUTES, MONTH_ATTRIBUTES, TRAINING_COLUMNS, WINDOW_ATTRIBUTES,
 )
@@ -93,8 +93,8 @@ def training_drives(
 ) -> DataFrame:
     """Serial and failure date of every failed drive, and of a sample of healthy ones.
 
-    One pass over the snapshots settles both: drives are grouped once, map-side first.
-    ``n_healthy=None`` takes all healthy drives.
+    ``n_healthy=None`` takes all healthy drives. Both lists are grouped map-side first;
+    the failed one reads failure rows only.
     """
     choose = {"max": F.max, "min": F.min}[pick]
     drives = df.groupBy("serial_number").agg(
@@ -103,8 +103,7 @@ def training_drives(
     if n_healthy is None:
         return drives
     healthy = sample_keys(drives.where(F.col("failure_date").isNull()), n_healthy, seed)
-    failed = drives.where(F.col("failure_date").isNotNull())
-    return failed.unionByName(healthy, allowMissingColumns=True)
+    return failure_dates(df, pick).unionByName(healthy, allowMissingColumns=True)
 
 
 def training_set(

@@ -2,12 +2,23 @@
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from fleetpulse.session import settle
+
+# Key lists up to this length (some 50 MB) are broadcast; beyond it, rows are shuffled.
+FEW_KEYS = 500_000
+
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once. Counts only the key columns, map-side first."""
     return df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys)
 
 
+def few_repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
+    """The repeated keys, marked for broadcast, or None if there are more than ``FEW_KEYS``."""
+    repeated = settle(repeated_keys(df, keys), "repeated-keys")
+    return F.broadcast(repeated) if repeated.count() <= FEW_KEYS else None
+
+
 def one_row_per_key(
     df: DataFrame, keys: list[str], order: list[str], repeated: DataFrame | None = None
 ) -> DataFrame:
@@ -15,8 +26,7 @@ def one_row_per_key(
 
     Spark limits a ``row_number() = 1`` filter to one row per key in every map task
     before the shuffle, so a key with very many copies costs no more than any other.
-    With the ``repeated`` keys at hand, stored so that their size is known, only their
-    rows are sorted; all others pass through.
+    Given the few ``repeated`` keys, only their rows are sorted; all others pass through.
     """
     if repeated is not None:
         several = df.join(repeated, keys, "left_semi").select(*df.columns)
@@ -32,12 +42,10 @@ def surplus_rows(
 ) -> DataFrame:
     """The rows ``one_row_per_key`` leaves out, with ``copies`` of each.
 
-    Works on the rows of repeated keys only. Equal rows are folded into one with their
-    count before the shuffle.
+    Equal rows are folded into one with their count before the shuffle, and the first row
+    of a key is found map-side. Given the few ``repeated`` keys, only their rows take part.
     """
-    if repeated is None:
-        repeated = repeated_keys(df, keys)
-    rows = df.join(repeated, keys, "left_semi").select(*df.columns)
+    rows = df if repeated is None else df.join(repeated, keys, "left_semi").select(*df.columns)
     rest = order + [c for c in df.columns if c not in keys and c not in order]
     folded = rows.groupBy(*df.columns).agg(F.count("*").alias("copies"))
     first = folded.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"))
@@ -71,7 +79,7 @@ def failure_dates(df: DataFrame, pick: str = "max") -> DataFrame:
 
 def never_failed(df: DataFrame) -> DataFrame:
     """Serial numbers without any failure row."""
-    failed = df.where(F.col("failure") == 1).select("serial_number")
+    failed = df.where(F.col("failure") == 1).select("serial_number").distinct()
     return df.select("serial_number").distinct().join(failed, "serial_number", "left_anti")
 
 

@@ -78,7 +78,7 @@ def positive_weight(df: DataFrame) -> DataFrame:
 def weighted(df: DataFrame, kind: str) -> DataFrame:
     """Add ``weight``: balanced classes for the logistic model, weighted positives for trees.
 
-    The weight table has one row per class.
+    The weight table is broadcast: a label is 0 or 1, so it has two rows at most.
     """
     if kind == "logistic":
         weights = class_weights(df).select("label", "weight")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetpulse.operators.keys import one_row_per_key, repeated_keys, surplus_rows
+from fleetpulse.operators.keys import few_repeated_keys, one_row_per_key, surplus_rows
 from fleetpulse.schema import SNAPSHOT, SNAPSHOT_KEY
 from fleetpulse.session import settle
 from fleetpulse.sources.csv_drops import FILE, REASON, accepted, load_audit, read_drops, rejected
@@ -22,7 +22,7 @@ def load_drops(
     parsed = settle(read_drops(spark, raw_path, per), "parsed-drops")
     usable = accepted(parsed)
     order = [c for c in SNAPSHOT.fieldNames() if c not in SNAPSHOT_KEY]
-    repeated = settle(repeated_keys(usable, SNAPSHOT_KEY), "repeated-keys")
+    repeated = few_repeated_keys(usable, SNAPSHOT_KEY)
     surplus = surplus_rows(usable, SNAPSHOT_KEY, order, repeated).withColumn(REASON, F.lit("repeated key"))
     refused = rejected(parsed).drop(FILE).withColumn("copies", F.lit(1).cast("long"))
     out = refused.unionByName(surplus)
