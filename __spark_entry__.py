@@ -19,7 +19,6 @@ from fleetpulse.plans import load, reports, training
 from fleetpulse.schema import CONSTANT_SENSORS, FEATURE_COLUMNS, SNAPSHOT, SNAPSHOT_KEY
 from fleetpulse.session import settle, shared_folder
 from fleetpulse.sources import csv_drops, run_to_failure, snapshot_store, tables
-from fleetpulse.streaming import drops
 from oracle.queries import ORACLE, SCORER_INTERCEPT, SCORER_WEIGHTS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,20 +142,13 @@ def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, refused, state = (_scratch(spark, n) for n in ("stream-table", "stream-refused", "stream-state"))
     raw_path = _as_csv_drops(spark, sf_dir, narrow_line=None)
-    drops.load_new_drops(spark, raw_path, table, refused, state, SNAPSHOT.fieldNames())
+    load.load_new_drops(spark, raw_path, table, refused, state, SNAPSHOT.fieldNames())
     return snapshot_store.read_snapshots(spark, table).drop("quarter")
 
 
-def _load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str, str]:
-    table, refused = _scratch(spark, "loaded"), _scratch(spark, "refused")
-    audit = load.load_drops(
-        spark, _as_csv_drops(spark, sf_dir), table, refused, per="directory", first_load=True
-    )
-    return audit, table, refused
-
-
 def _load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    audit, table, refused = _load(spark, sf_dir)
+    table, refused = _scratch(spark, "loaded"), _scratch(spark, "refused")
+    audit = load.load_drops(spark, _as_csv_drops(spark, sf_dir), table, refused, per="directory")
     stored = snapshot_store.read_snapshots(spark, table).agg(F.count("*").alias("n")).scalar()
     out = spark.read.parquet(refused).agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n")).scalar()
     return csv_drops.audit_totals(audit).select(

@@ -1,4 +1,4 @@
-"""Load of CSV drops into the stored snapshot table."""
+"""Load of CSV drops into the stored snapshot table, all at once or file by file."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -7,31 +7,66 @@ from fleetpulse.schema import SNAPSHOT, SNAPSHOT_KEY
 from fleetpulse.session import settle
 from fleetpulse.sources.csv_drops import FILE, REASON, accepted, load_audit, read_drops, rejected
 from fleetpulse.sources.snapshot_store import (
-    already_stored, append_snapshots, not_yet_stored, read_snapshots,
+    already_stored, append_snapshots, not_yet_stored, same_quarters, stored_snapshots,
 )
+from fleetpulse.streaming.drops import drop_stream
 
+ORDER = [c for c in SNAPSHOT.fieldNames() if c not in SNAPSHOT_KEY]
 
-def load_drops(
-    spark: SparkSession, raw_path: str, table: str, quarantine: str, per: str = "file", first_load: bool = False
-) -> DataFrame:
-    """Parse, check keys, append; return rows read and rejected per file.
 
-    The text is parsed once, into the shared folder. Rows without a usable key, surplus
-    rows of a key, and keys the table already holds go to ``quarantine`` with a reason.
+def store(parsed: DataFrame, table: str, quarantine: str) -> None:
+    """Append parsed snapshots to the table, each key once.
+
+    Rows without a usable key, surplus rows of a key, and keys the table already holds
+    go to ``quarantine`` with a reason. Only the quarters the rows lie in are looked up.
     """
-    parsed = settle(read_drops(spark, raw_path, per), "parsed-drops")
     usable = accepted(parsed)
-    order = [c for c in SNAPSHOT.fieldNames() if c not in SNAPSHOT_KEY]
     repeated = few_repeated_keys(usable, SNAPSHOT_KEY)
-    surplus = surplus_rows(usable, SNAPSHOT_KEY, order, repeated).withColumn(REASON, F.lit("repeated key"))
-    refused = rejected(parsed).drop(FILE).withColumn("copies", F.lit(1).cast("long"))
-    out = refused.unionByName(surplus)
-    unique = one_row_per_key(usable, SNAPSHOT_KEY, order, repeated)
-    if not first_load:
-        stored = read_snapshots(spark, table)
-        known = already_stored(unique, stored).withColumn("copies", F.lit(1).cast("long"))
+    once = F.lit(1).cast("long")
+    out = (
+        rejected(parsed).drop(FILE).withColumn("copies", once)
+        .unionByName(surplus_rows(usable, SNAPSHOT_KEY, ORDER, repeated).withColumn(REASON, F.lit("repeated key")))
+    )
+    unique = one_row_per_key(usable, SNAPSHOT_KEY, ORDER, repeated)
+    stored = stored_snapshots(parsed.sparkSession, table)
+    if stored is not None:
+        stored = same_quarters(stored, usable)
+        known = already_stored(unique, stored).withColumn("copies", once)
         out = out.unionByName(known.withColumn(REASON, F.lit("key already stored")))
         unique = not_yet_stored(unique, stored)
     out.write.mode("append").parquet(quarantine)
     append_snapshots(unique.select(*SNAPSHOT.fieldNames()), table)
+
+
+def load_drops(
+    spark: SparkSession, raw_path: str, table: str, quarantine: str, per: str = "file"
+) -> DataFrame:
+    """Load every CSV under ``raw_path``; return rows read and rejected per file.
+
+    The text is parsed once, into the shared folder.
+    """
+    parsed = settle(read_drops(spark, raw_path, per), "parsed-drops")
+    store(parsed, table, quarantine)
     return load_audit(parsed)
+
+
+def load_new_drops(
+    spark: SparkSession, raw_path: str, table: str, quarantine: str, state: str, header: list[str]
+) -> None:
+    """Load the files that share ``header`` and were not seen before, then stop.
+
+    ``state`` keeps the list of files taken in. A batch that is repeated after a failure
+    finds its keys stored and adds nothing to the table twice.
+    """
+
+    def batch(parsed: DataFrame, _: int) -> None:
+        store(settle(parsed, "parsed-batch"), table, quarantine)
+
+    query = (
+        drop_stream(spark, raw_path, header)
+        .writeStream.foreachBatch(batch)
+        .option("checkpointLocation", state)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()

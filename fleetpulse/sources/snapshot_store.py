@@ -2,6 +2,7 @@
 
 from datetime import date as Date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from fleetpulse.schema import SNAPSHOT, SNAPSHOT_KEY
@@ -36,6 +37,22 @@ def read_snapshots(
     return df
 
 
+def stored_snapshots(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None before the first load."""
+    try:
+        return read_snapshots(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def same_quarters(stored: DataFrame, df: DataFrame) -> DataFrame:
+    """The partitions of the table that ``df`` has rows in: a short list of labels."""
+    labels = [r.q for r in df.select(quarter_of(F.col("date")).alias("q")).distinct().collect()]
+    return stored.where(F.col("quarter").isin(labels))
+
+
 def not_yet_stored(df: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows whose key the table does not hold."""
     return df.join(stored.select(*SNAPSHOT_KEY), SNAPSHOT_KEY, "left_anti")

@@ -18,7 +18,7 @@ from fleetpulse.schema import SNAPSHOT, SNAPSHOT_KEY
 from fleetpulse.session import shared_folder
 
 BYTES_PER_BUCKET = 256 * 1024 * 1024
-MAX_BUCKETS = 100_000  # the most Spark accepts
+MAX_BUCKETS = 20_000  # keeps the number of shuffle blocks in hand at load
 TIE_BREAK = ["l_orderkey", "l_linenumber", "l_suppkey", "smart_9_raw"]
 
 _stored: dict[tuple[str, str, str], str] = {}

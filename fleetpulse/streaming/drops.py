@@ -1,13 +1,13 @@
-"""Incremental load of daily drops: each run takes in the files that are new."""
+"""Daily drops as a stream: every new file is one more piece of the input."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetpulse.schema import SNAPSHOT
-from fleetpulse.sources.csv_drops import FILE, REASON, normalize, text_schema
-from fleetpulse.sources.snapshot_store import quarter_of
+from fleetpulse.sources.csv_drops import FILE, normalize, text_schema
 
 
-def drop_stream(spark: SparkSession, path: str, header: list[str], files_per_batch: int = 1000) -> DataFrame:
+def drop_stream(
+    spark: SparkSession, path: str, header: list[str], files_per_batch: int = 1000
+) -> DataFrame:
     """A stream of normalized snapshots from drops that share ``header``."""
     return normalize(
         spark.readStream.schema(text_schema(header))
@@ -19,31 +19,3 @@ def drop_stream(spark: SparkSession, path: str, header: list[str], files_per_bat
         .csv(path)
         .withColumn(FILE, F.col("_metadata.file_path"))
     )
-
-
-def load_new_drops(
-    spark: SparkSession, path: str, table: str, quarantine: str, state: str, header: list[str]
-) -> None:
-    """Append all files not seen before, then stop.
-
-    The file sink commits every batch once, also after a restart; ``state`` keeps the
-    list of files taken in. Rejected rows go to ``quarantine``.
-    """
-    parsed = drop_stream(spark, path, header)
-    usable = parsed.where(F.col(REASON).isNull()).select(
-        *SNAPSHOT.fieldNames(), quarter_of(F.col("date")).alias("quarter")
-    )
-    unusable = parsed.where(F.col(REASON).isNotNull())
-    queries = [
-        usable.writeStream.format("parquet")
-        .option("checkpointLocation", f"{state}/accepted")
-        .partitionBy("quarter")
-        .trigger(availableNow=True)
-        .start(table),
-        unusable.writeStream.format("parquet")
-        .option("checkpointLocation", f"{state}/rejected")
-        .trigger(availableNow=True)
-        .start(quarantine),
-    ]
-    for q in queries:
-        q.awaitTermination()

@@ -2,10 +2,9 @@ from datetime import date
 
 import pytest
 
-from fleetpulse.plans.load import load_drops
+from fleetpulse.plans.load import load_drops, load_new_drops
 from fleetpulse.schema import RAW_ATTRIBUTES, SNAPSHOT
 from fleetpulse.sources import csv_drops, snapshot_store
-from fleetpulse.streaming.drops import load_new_drops
 from frames import day, snapshots
 
 HEADER = "date,serial_number,model,capacity_bytes,failure,smart_5_normalized,smart_5_raw,smart_9_raw"
@@ -62,7 +61,7 @@ def test_normalization(spark, raw, per):
 
 def test_load_and_reload(spark, raw, tmp_path):
     table, refused = str(tmp_path / "table"), str(tmp_path / "refused")
-    audit = load_drops(spark, raw, table, refused, first_load=True)
+    audit = load_drops(spark, raw, table, refused)
     totals = csv_drops.audit_totals(audit).first()
     assert (totals.files, totals.successful_files, totals.total_rows) == (3, 3, 7)
     stored = snapshot_store.read_snapshots(spark, table)
@@ -107,9 +106,10 @@ def test_new_files_are_taken_once(spark, tmp_path):
     where = [str(tmp_path / n) for n in ("table", "refused", "state")]
     (raw / "2025-01-01.csv").write_text(HEADER + "\n2025-01-01,A,M,1,0,1,2,3\nbad,B,M,1,0,1,2,3\n")
     load_new_drops(spark, str(raw), *where, header)
-    (raw / "2025-04-02.csv").write_text(HEADER + "\n2025-04-02,A,M,1,1,1,2,x\n")
+    (raw / "2025-04-02.csv").write_text(HEADER + "\n2025-04-02,A,M,1,1,1,2,x\n2025-01-01,A,M,1,0,1,9,9\n")
     load_new_drops(spark, str(raw), *where, header)
     load_new_drops(spark, str(raw), *where, header)
     rows = snapshot_store.read_snapshots(spark, where[0]).orderBy("date").collect()
     assert [(r.quarter, r.failure, r.smart_9_raw) for r in rows] == [("2025q1", 0, 3), ("2025q2", 1, None)]
-    assert [r.reject_reason for r in spark.read.parquet(where[1]).collect()] == ["unreadable date"]
+    refused = {(r.reject_reason, r.smart_9_raw) for r in spark.read.parquet(where[1]).collect()}
+    assert refused == {("unreadable date", 3), ("key already stored", 9)}
