@@ -87,18 +87,8 @@ def _scorer() -> scoring.Scorer:
     return scoring.logistic_scorer(SCORER_WEIGHTS, SCORER_INTERCEPT)
 
 
-def _requests(df: DataFrame) -> DataFrame:
-    """The latest reading of every drive as a scoring request."""
-    built = features.rolling_features(df)
-    values = [c for c in built.columns if c not in ("serial_number", "date")]
-    latest = F.max_by(F.struct(*values), "date").alias("_latest")
-    return built.groupBy("serial_number").agg(latest, F.max("date").alias("date")).select(
-        "serial_number", "date", "_latest.*"
-    )
-
-
 def _scored(df: DataFrame) -> DataFrame:
-    return scoring.score_batch(_requests(df), _scorer(), F.lit("2002-01-01").cast("date"))
+    return scoring.score_batch(features.latest_features(df), _scorer(), F.lit("2002-01-01").cast("date"))
 
 
 def _predicted(df: DataFrame) -> DataFrame:
@@ -221,7 +211,7 @@ def _two_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored predictions from one model per horizon."""
     df = tables.smart_daily(spark, sf_dir)
     table = settle(_training(df), "training")
-    requests = _requests(df)
+    requests = features.latest_features(df)
     day = F.lit("2002-01-01").cast("date")
     scored = []
     for target in ("will_fail_30d", "will_fail_60d"):
@@ -357,7 +347,7 @@ SCORING: dict[str, Query] = {
     "P11_impute": daily(
         lambda df: scoring.impute(scoring.as_requests(df.withColumnRenamed("smart_9_raw", "power_on_hours")))
     ),
-    "P11_impute_features": daily(lambda df: scoring.impute(scoring.as_requests(_requests(df)))),
+    "P11_impute_features": daily(lambda df: scoring.impute(scoring.as_requests(features.latest_features(df)))),
     "P19_display": daily(lambda df: scoring.display(_scored(df))),
     "M11_score_batch": daily(_scored),
     "A21_batch_summary": daily(lambda df: scoring.batch_summary(_scored(df))),

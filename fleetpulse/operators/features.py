@@ -73,6 +73,12 @@ def rolling_features(df: DataFrame, by: str = "rows", trend: bool = False) -> Da
     )
 
 
+def latest_features(df: DataFrame, by: str = "rows") -> DataFrame:
+    """Model inputs at every drive's last date, in the shape of scoring requests."""
+    last = F.max("date").over(W.partitionBy("serial_number"))
+    return rolling_features(df, by).withColumn("_last", last).where("date = _last").drop("_last")
+
+
 def add_labels(df: DataFrame) -> DataFrame:
     """Labels from ``failure_date``; drives without one are healthy.
 

@@ -70,6 +70,10 @@ def weibull_fit(
     point = F.struct(
         F.col("t").cast("double").alias("t"), F.col("n").cast("double").alias("n"), F.col("d").cast("double").alias("d")
     )
+    if by:
+        # The histogram is small: keep Spark from fitting all groups in one task.
+        cores = histogram.sparkSession.sparkContext.defaultParallelism
+        histogram = histogram.repartition(cores, *by)
     # One array element per distinct day count, however many drives there are.
     samples = histogram.groupBy(*by).agg(
         F.sum("n").alias("drives"),
@@ -81,34 +85,32 @@ def weibull_fit(
     scaled = F.transform(
         "_points",
         lambda p: F.struct(
-            (p["t"] / F.col("_longest")).alias("x"), F.ln(p["t"] / F.col("_longest")).alias("lx"), p["n"].alias("n")
+            (p["t"] / F.col("_longest")).alias("x"),
+            p["n"].alias("n"),
+            (p["n"] * F.ln(p["t"] / F.col("_longest"))).alias("nlx"),
         ),
     )
     samples = samples.withColumn("_scaled", scaled)
     failures = F.col("failures").cast("double")
     mean_log = F.col("_log_failed") / failures - F.ln("_longest")
 
-    def weighted(shape: Column, points: Column) -> Column:
-        zero = F.struct(F.lit(0.0).alias("mass"), F.lit(0.0).alias("logs"))
+    def mass(shape: Column) -> Column:
         return F.aggregate(
-            points,
-            zero,
-            lambda acc, p: F.struct(
-                (acc["mass"] + p["n"] * F.pow(p["x"], shape)).alias("mass"),
-                (acc["logs"] + p["n"] * F.pow(p["x"], shape) * p["lx"]).alias("logs"),
-            ),
+            "_scaled", F.lit(0.0), lambda total, p: total + p["n"] * F.pow(p["x"], shape)
         )
 
-    def profile_positive(shape: Column) -> Column:
-        ratio = F.aggregate(
-            F.array(weighted(shape, F.col("_scaled"))), F.lit(0.0), lambda _, s: s["logs"] / s["mass"]
+    def log_mass(shape: Column) -> Column:
+        return F.aggregate(
+            "_scaled", F.lit(0.0), lambda total, p: total + p["nlx"] * F.pow(p["x"], shape)
         )
-        return ratio - F.lit(1.0) / shape - mean_log > 0
+
+    def profile_positive(shape: Column) -> Column:
+        return log_mass(shape) / mass(shape) - F.lit(1.0) / shape - mean_log > 0
 
     has_failures = F.col("failures") > 0
     fitted = samples.withColumn("_shape", F.when(has_failures, _bisect(profile_positive, shape_bounds)))
     free_scale = F.col("_longest") * F.pow(
-        weighted(F.col("_shape"), F.col("_scaled"))["mass"] / failures, F.lit(1.0) / F.col("_shape")
+        mass(F.col("_shape")) / failures, F.lit(1.0) / F.col("_shape")
     )
     fitted = fitted.withColumn("_free", free_scale).withColumn(
         "scale", F.least(F.greatest("_free", F.lit(scale_bounds[0])), F.lit(scale_bounds[1]))
@@ -118,11 +120,7 @@ def weibull_fit(
 
     def fixed_scale_negative(shape: Column) -> Column:
         growth = F.pow(F.col("_longest") / F.col("scale"), shape)
-        hazard = F.aggregate(
-            F.col("_scaled"),
-            F.lit(0.0),
-            lambda acc, p: acc + p["n"] * F.pow(p["x"], shape) * (p["lx"] + ratio_to_scale),
-        )
+        hazard = log_mass(shape) + mass(shape) * ratio_to_scale
         logs = F.col("_log_failed") - failures * F.ln("scale")
         return failures / shape + logs - growth * hazard < 0
 

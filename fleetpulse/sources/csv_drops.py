@@ -47,7 +47,8 @@ def header_groups(
         headers = list(pool.map(header, groups))
     out = defaultdict(list)
     for names, group in zip(headers, groups):
-        out[names] += group
+        if names:  # an empty file has no header and no rows
+            out[names] += group
     return dict(out)
 
 
@@ -90,10 +91,11 @@ def normalize(raw: DataFrame) -> DataFrame:
 def read_drops(spark: SparkSession, path: str, per: str = "file") -> DataFrame:
     """Every CSV under ``path`` as normalized snapshots, with file name and reject reason."""
     files = [r.path for r in find_csv_files(spark, path).collect()]
-    if not files:
-        raise FileNotFoundError(f"no CSV files under {path}")
+    groups = header_groups(spark, files, per)
+    if not groups:
+        raise FileNotFoundError(f"no CSV files with a header under {path}")
     parts = []
-    for names, group in header_groups(spark, files, per).items():
+    for names, group in groups.items():
         raw = (
             spark.read.schema(text_schema(names))
             .option("header", True)

@@ -37,6 +37,11 @@ def read_snapshots(
     return df
 
 
+def register_view(spark: SparkSession, path: str, name: str = "smart_daily") -> None:
+    """Make the table available to ``spark.sql``; date filters there are not pruned by quarter."""
+    read_snapshots(spark, path).createOrReplaceTempView(name)
+
+
 def stored_snapshots(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None before the first load."""
     try:

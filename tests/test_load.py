@@ -31,12 +31,14 @@ def raw(tmp_path):
         "date,serial_number,capacity_bytes,failure,smart_242_raw,smart_9_raw\n2025-04-01,E,4000,0,9007199254740993,5\n"
     )
     (root / "q2" / "notes.txt").write_text("no drop\n")
+    (root / "q3").mkdir()
+    (root / "q3" / "2025-07-01.csv").write_text("")
     return str(root)
 
 
 def test_discovery(spark, raw):
     names = [r.path.rsplit("/", 1)[1] for r in csv_drops.find_csv_files(spark, raw).collect()]
-    assert sorted(names) == ["2025-01-01.csv", "2025-01-02.csv", "2025-04-01.csv"]
+    assert sorted(names) == ["2025-01-01.csv", "2025-01-02.csv", "2025-04-01.csv", "2025-07-01.csv"]
 
 
 def test_nothing_to_read(spark, tmp_path):
@@ -87,6 +89,16 @@ def test_quarters_are_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(quarter" in plan
 
 
+def test_sql_over_the_table(spark, tmp_path):
+    rows = [{"date": day(n), "serial_number": s, "failure": int(n == 2)} for n in range(3) for s in "AB"]
+    snapshot_store.append_snapshots(snapshots(spark, rows), str(tmp_path / "t"))
+    snapshot_store.register_view(spark, str(tmp_path / "t"))
+    row = spark.sql(
+        "SELECT COUNT(*) AS n, COUNT(DISTINCT serial_number) AS drives, SUM(failure) AS failures FROM smart_daily"
+    ).first()
+    assert tuple(row) == (6, 2, 2)
+
+
 def test_null_marker_round_trip(spark, tmp_path):
     nothing = dict.fromkeys(RAW_ATTRIBUTES)
     rows = [{"date": day(3), "serial_number": "TEST999", "model": "TestModel4", "capacity_bytes": 4000000, **nothing,
