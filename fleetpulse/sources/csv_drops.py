@@ -47,7 +47,7 @@ def header_groups(
         headers = list(pool.map(header, groups))
     out = defaultdict(list)
     for names, group in zip(headers, groups):
-        if names:  # an empty file has no header and no rows
+        if names:  # a blank file has no header and no rows
             out[names] += group
     return dict(out)
 

@@ -32,7 +32,7 @@ def raw(tmp_path):
     )
     (root / "q2" / "notes.txt").write_text("no drop\n")
     (root / "q3").mkdir()
-    (root / "q3" / "2025-07-01.csv").write_text("")
+    (root / "q3" / "2025-07-01.csv").write_text("\n")
     return str(root)
 
 
