@@ -1,5 +1,7 @@
 """Load of CSV drops into the stored snapshot table, all at once or file by file."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetpulse.operators.keys import few_repeated_keys, one_row_per_key, surplus_rows
@@ -34,8 +36,14 @@ def store(parsed: DataFrame, table: str, quarantine: str) -> None:
         known = already_stored(unique, stored).withColumn("copies", once)
         out = out.unionByName(known.withColumn(REASON, F.lit("key already stored")))
         unique = not_yet_stored(unique, stored)
-    out.write.mode("append").parquet(quarantine)
-    append_snapshots(unique.select(*SNAPSHOT.fieldNames()), table)
+    # Two independent jobs over the same stored rows; the small one need not wait.
+    with ThreadPoolExecutor(2) as pool:
+        jobs = [
+            pool.submit(out.write.mode("append").parquet, quarantine),
+            pool.submit(append_snapshots, unique.select(*SNAPSHOT.fieldNames()), table),
+        ]
+        for job in jobs:
+            job.result()
 
 
 def load_drops(

@@ -14,19 +14,21 @@ REASON = "reject_reason"
 HEADER_READERS = 16
 
 
-def find_csv_files(spark: SparkSession, path: str) -> DataFrame:
-    """Path and size of every CSV file under ``path``; no content is read."""
+def _listed(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .load(path)
         .select("path", "length")
-        .distinct()
-        .orderBy("path")
     )
 
 
+def find_csv_files(spark: SparkSession, path: str) -> DataFrame:
+    """Path and size of every CSV file under ``path``, once each, sorted; no content is read."""
+    return _listed(spark, path).orderBy("path")
+
+
 def header_groups(
     spark: SparkSession, files: list[str], per: str = "file"
 ) -> dict[tuple[str, ...], list[str]]:
@@ -90,7 +92,7 @@ def normalize(raw: DataFrame) -> DataFrame:
 
 def read_drops(spark: SparkSession, path: str, per: str = "file") -> DataFrame:
     """Every CSV under ``path`` as normalized snapshots, with file name and reject reason."""
-    files = [r.path for r in find_csv_files(spark, path).collect()]
+    files = sorted(r.path for r in _listed(spark, path).collect())
     groups = header_groups(spark, files, per)
     if not groups:
         raise FileNotFoundError(f"no CSV files with a header under {path}")
