@@ -160,10 +160,6 @@ def degradation_paths(
 
 def engine_tables(df: DataFrame, dataset: str) -> tuple[DataFrame, DataFrame]:
     """The stored shape of a series: one row per engine, and the readings with their target."""
-    engines = life_spans(df).select(
-        F.col("engine_id").cast("int").alias("engine_id"),
-        F.col("max_cycle").cast("int").alias("max_cycle"),
-        F.lit(dataset).alias("dataset"),
-    )
+    engines = life_spans(df).withColumn("dataset", F.lit(dataset))
     readings = remaining_life(df).withColumnRenamed("RUL", "rul")
     return engines, readings

@@ -141,10 +141,11 @@ def engine_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = row_numbers(
         events, "user_id", ["ts", "event_id"], F.date_trunc("minute", "ts"), "cycle"
     )
-    cycle = F.col("cycle").cast("int")
+    # Ids and cycles stay long: a very long series has more cycles than an int holds.
+    cycle = F.col("cycle")
     return numbered.select(
-        F.col("user_id").cast("int").alias("engine_id"),
-        cycle.alias("cycle"),
+        F.col("user_id").alias("engine_id"),
+        "cycle",
         F.col("value").alias("sensor_2"),
         (F.col("event_id") % 100 + F.lit(0.5)).alias("sensor_3"),
         F.lit(518.67).alias("sensor_1"),

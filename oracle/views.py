@@ -29,8 +29,8 @@ SELECT serial_number, model, MIN(date) AS first_seen, MAX(date) AS last_seen,
        CAST(MAX(date) - MIN(date) + 1 AS INTEGER) AS lifetime_days, MAX(failure) AS failed
 FROM smart_surv GROUP BY serial_number, model""",
     "engine": """
-SELECT CAST(user_id AS INT) AS engine_id,
-       CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INT) AS cycle,
+SELECT user_id AS engine_id,
+       ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS cycle,
        value AS sensor_2, event_id % 100 + 0.5e0 AS sensor_3, 518.67e0 AS sensor_1,
        600e0 + 0.25e0 * ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) + value / 1000e0 AS sensor_4,
        550e0 - 0.10e0 * ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sensor_7
