@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetpulse.llm import line_dedup, mixing, quality_rules, substring_dedup
+from fleetpulse.llm import line_dedup, minhash_dedup, mixing, quality_rules, substring_dedup
 from fleetpulse.session import settle
 
 
@@ -24,6 +24,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduped.select("doc.doc_id", "n_sentences", "n_removed", "n_spans", sha256("kept_text"))
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -38,6 +42,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_substring_dedup": op2_substring_dedup,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op8_mixing": op8_mixing,
     "op10_quality_rules": op10_quality_rules,
 }
