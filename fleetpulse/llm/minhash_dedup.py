@@ -4,7 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from fleetpulse.llm.common import documents_of
 from fleetpulse.llm.components import connected_components
@@ -92,6 +92,37 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified(percent), "a long, b long")
 
 
+def _sets(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in stream:
+        for k, text in enumerate(texts_of(batch["text"])):
+            g = pa.array(shingle_set(text).view(np.int64))
+            columns = [pa.array([batch[name][k].as_py()] * len(g), pa.int64()) for name in ("id", "c", "n")]
+            yield pa.RecordBatch.from_arrays([*columns, g], names=["id", "c", "n", "g"])
+
+
+def shared_rare_shingles(rest: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``rest`` (id, c, n) in different components c that may be alike; loses none.
+
+    Of two alike sets the rarest 100 - ``percent`` percent and one more of either must meet
+    in a shingle, in any common order. Shingles of one text alone meet nothing, so a text
+    that has so many of them has no pair at all, and edited copies of one original, each
+    with edits of its own, are not compared with each other.
+    """
+    held = rest.join(texts, "id").select("id", "c", "n", "text").mapInArrow(_sets, "id long, c long, n long, g long")
+    held = settle(held, "sets")
+    often = held.groupBy("g").agg(F.count("*").alias("df")).where("df > 1")
+    common = held.join(often, "g")
+    rank = F.row_number().over(W.partitionBy("id").orderBy("df", "g"))
+    ranked = common.select("id", "c", "n", "g", rank.alias("rank"), F.count("*").over(W.partitionBy("id")).alias("n_common"))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    ranked = ranked.where(F.col("rank") <= prefix - (F.col("n") - F.col("n_common"))).drop("rank", "df")
+    other = ranked.select(F.col("id").alias("b"), F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("n_common").alias("common_b"), "g")
+    near = (F.col("id") < F.col("b")) & (F.col("c") != F.col("c_b"))
+    # what two sets share is at most what either shares with any other
+    near &= (100 + percent) * F.least("n_common", "common_b") >= percent * (F.col("n") + F.col("n_b"))
+    return ranked.join(other, "g").where(near).select(F.col("id").alias("a"), "b").distinct()
+
+
 def link_documents(docs: DataFrame, percent: int = 85, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(id, n_shingles, component) per distinct doc_id; near copies share a component, its smallest id.
 
@@ -99,9 +130,9 @@ def link_documents(docs: DataFrame, percent: int = 85, bands: int = BANDS, rows:
     of exact copies of any size cost one row. Classes that agree in a band meet in its
     bucket. First each is verified against the bucket's hub, the member that shares most
     buckets with others; this links groups around a common original without looking at
-    their pairs. Then only pairs in different components that agree in two or more bands
-    are verified. At the threshold a pair agrees in fewer than two of 32 bands of 5 rows
-    with a chance of 2 in 10 million.
+    their pairs. Then, among the members of buckets that still hold several components,
+    pairs that share a rare shingle are verified (see ``shared_rare_shingles``). A pair at
+    the threshold agrees in none of 32 bands of 5 rows with a chance of 7 in a billion.
 
     Null and empty texts have no shingle and no link. Rows that share a doc_id count with
     the smallest text fingerprint; rows with a null doc_id are left out here.
@@ -130,12 +161,10 @@ def link_documents(docs: DataFrame, percent: int = 85, bands: int = BANDS, rows:
     placed = member.join(found, F.col("id") == F.col("node"), "left").select("bucket", "id", "n_shingles", F.coalesce("component", "id").alias("c"))
     open_ = placed.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("bucket")
     placed = placed.join(open_, "bucket", "left_semi")
-    other = placed.select("bucket", F.col("id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("c").alias("c_b"))
-    near = (F.col("id") < F.col("b")) & (F.col("c") != F.col("c_b"))
-    near &= 100 * F.least("n_shingles", "n_b") >= percent * F.greatest("n_shingles", "n_b")
-    pairs = placed.join(other, "bucket").where(near).groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("n")).where("n > 1")
+    rest = settle(placed.groupBy("id", "c").agg(F.first("n_shingles").alias("n")), "rest")
+    pairs = shared_rare_shingles(rest, texts, percent)
     tried = spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = settle(verified(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"), texts, percent), "pairs")
+    more = settle(verified(pairs.join(tried, ["a", "b"], "left_anti"), texts, percent), "pairs")
     edges = edges.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v"))
     found = connected_components(edges).withColumnsRenamed({"node": "id"})
     # the class's first id stands for its members
