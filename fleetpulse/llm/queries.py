@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetpulse.llm import line_dedup, minhash_dedup, mixing, quality_rules, substring_dedup
+from fleetpulse.llm import embedding_dedup, line_dedup, minhash_dedup, mixing, quality_rules, substring_dedup
 from fleetpulse.session import settle
 
 
@@ -33,6 +33,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = settle(quality_rules.text_counts(table(spark, sf_dir, "documents")).drop("doc"), "counts")
     judged = quality_rules.judge(counts, table(spark, sf_dir, "labels"))
@@ -44,5 +48,6 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op8_mixing": op8_mixing,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
