@@ -1,8 +1,18 @@
 """The registered queries of this subpackage, one per operator and one for the pipeline."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetpulse.llm import embedding_dedup, line_dedup, minhash_dedup, mixing, quality_rules, substring_dedup
+from fleetpulse.llm import (
+    embedding_dedup,
+    line_dedup,
+    minhash_dedup,
+    mixing,
+    packing,
+    quality_rules,
+    substring_dedup,
+    token_counts,
+)
 from fleetpulse.session import settle
 
 
@@ -24,10 +34,29 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduped.select("doc.doc_id", "n_sentences", "n_removed", "n_spans", sha256("kept_text"))
 
 
+def vocabulary() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = packing.binary_pieces(docs, vocabulary())
+    digests = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.bucketed(settle(digests, "pieces"))
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary(), ["doc_id"])
+    return counted.select("doc.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -46,7 +75,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_packing": op4_packing,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_mixing": op8_mixing,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality_rules": op10_quality_rules,
