@@ -157,56 +157,80 @@ class Vocabulary:
 class CountTransducer:
     """A deterministic transducer over bytes; its transitions carry the change of the token count.
 
-    The tokens of a prefix end in the one vocabulary token that the merge rules keep apart
-    from the token before it. A state is a prefix of a piece with that last token; the
-    transition into it is compiled when first met and shared by all pieces that begin so.
-    Beyond ``max_states`` the compiled part is dropped and grows anew. Pieces over
-    ``longest`` bytes run on transitions of their own that are not kept.
+    The tokens of a prefix end in the one vocabulary token whose pair with the tokens
+    before it survives the merge rules. A state holds what later bytes can depend on: the
+    starts from which the bytes so far are the beginning of some token, each as (place in
+    the token trie, token before it, tokens up to there minus tokens up to now). States
+    and transitions are compiled when first met and shared by all pieces; beyond
+    ``max_states`` the compiled part is dropped and grows anew.
     """
 
-    def __init__(self, vocabulary: Vocabulary, max_states: int = 700_000, longest: int = 48):
-        self.vocabulary, self.max_states, self.longest = vocabulary, max_states, longest
-        self.reach = max(map(len, vocabulary.ids), default=1)
+    def __init__(self, vocabulary: Vocabulary, max_states: int = 150_000, max_pieces: int = 400_000):
+        self.vocabulary, self.max_states, self.max_pieces = vocabulary, max_states, max_pieces
+        self.children: dict[int, int] = {}
+        self.token_at: dict[int, int] = {}
+        nodes = 1
+        for token, k in vocabulary.ids.items():
+            node = 0
+            for b in token:
+                step = node << 8 | b
+                if step not in self.children:
+                    self.children[step] = nodes
+                    nodes += 1
+                node = self.children[step]
+            self.token_at[node] = k
+        self.inner = {step >> 8 for step in self.children}
         self.forget()
 
     def forget(self) -> None:
-        self.steps: dict[bytes, tuple[int, int]] = {}
-        self.pairs: dict[int, bool] = {}
+        start = ((0, -1, 0),)
+        self.states: list[tuple] = [start]
+        self.known = {start: 0}
+        self.steps: dict[int, tuple[int, int]] = {}
+        self.pairs: dict[tuple[int, int], bool] = {}
         self.counts: dict[str, int] = {}
 
-    def compiled(self, data: bytes, end: int, tokens: list[int], totals: list[int]) -> tuple[int, int]:
-        """The last token of ``data[:end]`` and the change of the count, from those of all shorter prefixes."""
-        ids, pairs = self.vocabulary.ids, self.pairs
-        for start in range(max(0, end - self.reach), end):
-            token = ids.get(data[start:end])
-            if token is None:
+    def follows(self, before: int, token: int) -> bool:
+        """Whether the two tokens stay apart when their bytes are merged by the rules."""
+        if before < 0:
+            return True
+        pair = before, token
+        if pair not in self.pairs:
+            self.pairs[pair] = self.vocabulary.apart(before, token)
+        return self.pairs[pair]
+
+    def compiled(self, state: int, byte: int) -> tuple[int, int]:
+        alive, last = [], None
+        for node, before, behind in self.states[state]:
+            to = self.children.get(node << 8 | byte)
+            if to is None:
                 continue
-            if start:
-                pair = tokens[start] << 32 | token
-                apart = pairs.get(pair)
-                if apart is None:
-                    pairs[pair] = apart = self.vocabulary.apart(tokens[start], token)
-                if not apart:
-                    continue
-            return token, totals[start] + 1 - totals[end - 1]
-        raise ValueError(f"the vocabulary has no token for byte {data[end - 1]}")
+            if to in self.inner:
+                alive.append((to, before, behind))
+            token = self.token_at.get(to)
+            if last is None and token is not None and self.follows(before, token):
+                last = token, behind + 1
+        token, change = last
+        to = (*[(node, before, behind - change) for node, before, behind in alive], (0, token, 0))
+        if to not in self.known:
+            self.known[to] = len(self.states)
+            self.states.append(to)
+        self.steps[state << 8 | byte] = step = self.known[to], change
+        return step
 
     def count(self, piece: str) -> int:
-        if len(self.steps) > self.max_states:
+        if len(self.states) > self.max_states or len(self.counts) > self.max_pieces:
             self.forget()
-        data = piece.encode()
-        keep, steps = len(data) <= self.longest, self.steps
-        tokens, totals = [-1], [0]
-        for end in range(1, len(data) + 1):
-            step = steps.get(data[:end]) if keep else None
+        state = total = 0
+        steps = self.steps
+        for byte in piece.encode():
+            step = steps.get(state << 8 | byte)
             if step is None:
-                step = self.compiled(data, end, tokens, totals)
-                if keep:
-                    steps[data[:end]] = step
-            tokens.append(step[0])
-            totals.append(totals[-1] + step[1])
-        self.counts[piece] = totals[-1]
-        return totals[-1]
+                step = self.compiled(state, byte)
+            state = step[0]
+            total += step[1]
+        self.counts[piece] = total
+        return total
 
     def count_all(self, pieces: list[str]) -> np.ndarray:
         known, count = self.counts, self.count
