@@ -12,6 +12,7 @@ from fleetpulse.llm import (
     quality_rules,
     substring_dedup,
     token_counts,
+    toxicity,
 )
 from fleetpulse.session import settle
 
@@ -34,6 +35,13 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduped.select("doc.doc_id", "n_sentences", "n_removed", "n_spans", sha256("kept_text"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = toxicity.train(toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), max_labelled=1600))
+    scored = toxicity.score_toxicity(docs, network, ["doc_id"])
+    return scored.select("doc.doc_id", toxicity.held_out("doc.doc_id").alias("held_out"), "score", "predicted")
+
+
 def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
@@ -75,6 +83,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op7_token_counts": op7_token_counts,
