@@ -216,12 +216,12 @@ def train(rows: list[tuple[str, int]], rounds: int = 8, seed: int = 7) -> Networ
                 weight = np.where(target == 1, 0.5 / max(share, 0.05), 0.5 / max(1 - share, 0.05)).astype(np.float32)
                 g, d_x = network.gradients(x[cut[batch]], mask[batch], target, weight)
                 into = cut[batch].ravel()
-                flat = d_x.reshape(-1, x.shape[1]) * (into > 0)[:, None]
+                pull = d_x.reshape(-1, x.shape[1]) * (into > 0)[:, None]
                 g["word"], g["char"] = np.zeros_like(weights["word"]), np.zeros_like(weights["char"])
-                np.add.at(g["word"], places[into], flat[:, :WORD_DIMS])
+                np.add.at(g["word"], places[into], pull[:, :WORD_DIMS])
                 g["word"][:2] = 0
                 for dim in range(CHAR_DIMS):
-                    np.add.at(g["char"][:, dim], best[into, dim], flat[:, WORD_DIMS + dim])
+                    np.add.at(g["char"][:, dim], best[into, dim], pull[:, WORD_DIMS + dim])
                 steps += 1
                 for name, grad in g.items():
                     m, v = moments.setdefault(name, [np.zeros_like(weights[name]), np.zeros_like(weights[name])])
