@@ -11,6 +11,7 @@ from fleetpulse.llm import (
     packing,
     quality_rules,
     substring_dedup,
+    suffix_dedup,
     token_counts,
     toxicity,
 )
@@ -60,6 +61,11 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents"), ["doc_id"])
+    return deduped.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", sha256("kept"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary(), ["doc_id"])
     return counted.select("doc.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
@@ -86,6 +92,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_mixing": op8_mixing,
     "op9_embedding_dedup": op9_embedding_dedup,

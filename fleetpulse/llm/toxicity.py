@@ -155,7 +155,7 @@ def _cut(texts: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
     return list(places), np.array(rows, np.int64).reshape(-1, WINDOW), np.array(owner, np.int64)
 
 
-def train(rows: list[tuple[str, int]], rounds: int = 8, seed: int = 7) -> Network:
+def train(rows: list[tuple[str, int]], rounds: int = 12, seed: int = 7) -> Network:
     """Learn from (text, label) rows; each round trains on the windows that score highest now.
 
     A text is toxic if any of its windows is, so the label is put on a text's best window
