@@ -100,3 +100,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none") -> Data
         "keep",
         _kept_text().alias("kept_text"),
     )
+
+
+def without_shared_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
+    """The rows of ``docs`` with ``text`` less the lines that ``min_docs`` documents share, and ``n_chars`` to match."""
+    deduped = dedup_lines(docs, min_docs)
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return deduped.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])

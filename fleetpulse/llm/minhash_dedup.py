@@ -184,3 +184,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS, rows
     return ids.join(linked, F.col("doc_id") == F.col("l_id"), "left").select(
         "doc_id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.col("component").alias("component_id"), kept.alias("kept")
     )
+
+
+def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """The rows of ``docs`` less near copies: of each group the document with the smallest id stays.
+
+    Of rows that share a doc_id one stays; rows with a null doc_id all stay, and texts
+    without a word are near copies of nothing.
+    """
+    documents = documents_of(docs)
+    kept = link_documents(docs, percent).where("id = component").select(F.col("id").alias("k_id"), F.col("fp").alias("k_fp"))
+    same = (F.col("id") == F.col("k_id")) & (F.col("fp") == F.col("k_fp"))
+    first = documents.join(kept, same, "left_semi").dropDuplicates(["id"])
+    return first.unionByName(documents.where(F.col("id").isNull())).select("doc.*")

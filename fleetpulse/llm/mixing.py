@@ -179,3 +179,17 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
         .join(targets_of, F.col("source").eqNullSafe(F.col("t_source")))
         .select("id", "fp", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     )
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, to the nearest whole copy.
+
+    At most one document per source is taken in part. Documents without a word are taken never.
+    """
+    documents = documents_of(docs)
+    taken = mix(docs, **options).where("size > 0").groupBy(F.col("id").alias("t_id"), F.col("fp").alias("t_fp"))
+    copies = F.round(F.sum("taken") / F.sum("size")).cast("int")
+    taken = taken.agg(copies.alias("copies")).where("copies > 0")
+    same = F.col("id").eqNullSafe(F.col("t_id")) & (F.col("fp") == F.col("t_fp"))
+    each = documents.join(taken, same).select("doc", F.explode(F.sequence(F.lit(1), "copies")))
+    return each.select("doc.*")

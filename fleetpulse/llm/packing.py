@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fleetpulse.llm.common import documents_of
 from fleetpulse.llm.token_counts import Vocabulary
+from fleetpulse.session import settle
 
 # The splitting rule of byte-level BPE vocabularies, and the id that ends a document.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -78,3 +79,10 @@ def bucketed(pieces: DataFrame) -> DataFrame:
     order = ["length", "doc_id", "start"]
     ranged = pieces.repartitionByRange(*order).sortWithinPartitions(*order)
     return ranged.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+
+
+def packed_digests(docs: DataFrame, vocabulary_path: str, longest: int = 1024) -> DataFrame:
+    """The packing plan: all sequences with a checksum of their ids instead of the ids."""
+    pieces = binary_pieces(docs, vocabulary_path, longest)
+    digests = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return bucketed(settle(digests, "pieces"))

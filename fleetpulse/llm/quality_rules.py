@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetpulse.llm.common import WHITE, whole_text, words
+from fleetpulse.session import settle
 
 # The characters that count as symbols, and the base rule's limits.
 SYMBOLS = "#*$%&|<>"
@@ -217,3 +218,11 @@ def judge(counts: DataFrame, labels: DataFrame, max_labelled: int = 6000) -> Dat
     kinds the list is empty and the base rule alone decides. Repeated rows are judged alike.
     """
     return apply_rules(counts, learn_list(labelled_sample(counts, labels, max_labelled)))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000) -> DataFrame:
+    """The rows of ``docs`` that pass the base rule and the learned list.
+
+    The counts are stored next to their rows, so they are taken once and no row is shuffled.
+    """
+    return judge(settle(text_counts(docs), "counted"), labels, max_labelled).where("kept").select("doc.*")

@@ -18,6 +18,10 @@ from fleetpulse.llm import (
 from fleetpulse.session import settle
 
 
+def vocabulary() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -43,18 +47,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc.doc_id", toxicity.held_out("doc.doc_id").alias("held_out"), "score", "predicted")
 
 
-def vocabulary() -> str:
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(table(spark, sf_dir, "documents"))
-
-
-def packed(docs: DataFrame) -> DataFrame:
-    pieces = packing.binary_pieces(docs, vocabulary())
-    digests = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
-    return packing.bucketed(settle(digests, "pieces"))
+    return packing.packed_digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
