@@ -21,6 +21,15 @@ from fleetpulse.session import settle, shared_folder
 from fleetpulse.sources import csv_drops, run_to_failure, snapshot_store, tables
 from oracle.queries import ORACLE, SCORER_INTERCEPT, SCORER_WEIGHTS
 
+try:
+    import corpus_pipeline
+    from fleetpulse.llm.oracle import ORACLE as LLM_ORACLE
+    from fleetpulse.llm.queries import QUERIES as LLM_QUERIES
+except ImportError:
+    LLM, LLM_ORACLE = {}, {}
+else:
+    LLM = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Rounds of the registered training runs; the library default is 200.
@@ -381,8 +390,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {**SOURCES, **REPORTS, **QUALITY, **FEATURES, **SURVIVAL, **DEGRADATION, **SCORING, **LEARNING}
+    return {**SOURCES, **REPORTS, **QUALITY, **FEATURES, **SURVIVAL, **DEGRADATION, **SCORING, **LEARNING, **LLM}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return {**ORACLE, **LLM_ORACLE}
