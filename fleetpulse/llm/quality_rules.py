@@ -14,13 +14,13 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 #: Measures the list may test, each a ratio that does not depend on the text's length.
 MEASURES = {
-    "word_length": F.col("word_chars") / F.col("n_words"),
-    "symbol_rate": F.col("n_symbols") / F.col("n_words"),
-    "upper_share": F.col("n_upper") / F.col("word_chars"),
-    "digit_share": F.col("n_digits") / F.col("word_chars"),
-    "exclaim_rate": F.col("n_exclaims") / F.col("n_words"),
-    "dup_line_share": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-    "repeat_share": F.col("n_repeat_words") / F.col("n_words"),
+    "word_length": "try_divide(word_chars, n_words)",
+    "symbol_rate": "try_divide(n_symbols, n_words)",
+    "upper_share": "try_divide(n_upper, word_chars)",
+    "digit_share": "try_divide(n_digits, word_chars)",
+    "exclaim_rate": "try_divide(n_exclaims, n_words)",
+    "dup_line_share": "try_divide(n_dup_lines, greatest(n_lines, 1))",
+    "repeat_share": "try_divide(n_repeat_words, n_words)",
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -99,7 +99,7 @@ class Condition:
         return value >= self.threshold if self.at_least else value <= self.threshold
 
     def column(self) -> Column:
-        value = MEASURES[self.measure]
+        value = F.expr(MEASURES[self.measure])
         return value >= self.threshold if self.at_least else value <= self.threshold
 
 
@@ -179,7 +179,7 @@ def labelled_sample(counts: DataFrame, labels: DataFrame, max_labelled: int) ->
         .groupBy(F.col("doc_id").alias("label_id"))
         .agg(F.min("quality").alias("quality"))
     )
-    measured = counts.where(~base_failed()).select("id", *[m.alias(name) for name, m in MEASURES.items()])
+    measured = counts.where(~base_failed()).select("id", *[F.expr(m).alias(name) for name, m in MEASURES.items()])
     chosen = (
         measured.join(known, F.col("id") == F.col("label_id"))
         .select(F.xxhash64("id").alias("turn"), "id", *MEASURES, "quality")
