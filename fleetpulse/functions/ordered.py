@@ -5,9 +5,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from fleetpulse.session import settle
 
-# Histograms up to this many rows (some 30 MB) are ordered in a single task.
-FEW_ROWS = 1_000_000
-
 
 def row_numbers(
     df: DataFrame, key: str, order: list[str], slice_of: Column, name: str
@@ -39,15 +36,12 @@ def running_totals(
 ) -> DataFrame:
     """Add ``<total>_upto`` columns: inclusive running sums along ``value``.
 
-    ``histogram`` has one row per value. Up to ``FEW_ROWS`` of them are summed in one
-    window. Beyond that its quantiles (at most ``slices`` numbers)
-    cut it into even slices, each summed in its own task; only the slice totals,
-    again at most ``slices`` rows, are ordered in one place.
+    ``histogram`` has one row per value; values that are NULL or NaN have no place in the
+    order and are left out. Its quantiles (at most ``slices`` numbers) cut it into even
+    slices, each summed in its own task; only the slice totals, again at most ``slices``
+    rows, are ordered in one place.
     """
-    histogram = settle(histogram, "histogram")
-    if histogram.count() <= FEW_ROWS:
-        upto = W.orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-        return histogram.select("*", *[F.sum(t).over(upto).alias(f"{t}_upto") for t in totals])
+    histogram = settle(histogram.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))), "histogram")
     probabilities = [i / slices for i in range(1, slices)]
     edges = sorted(set(histogram.approxQuantile(value, probabilities, 0.5 / slices)))
     if not edges:

@@ -4,19 +4,15 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from fleetpulse.session import settle
 
-# Key lists up to this length (some 50 MB) are broadcast; beyond it, rows are shuffled.
-FEW_KEYS = 500_000
-
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once. Counts only the key columns, map-side first."""
     return df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys)
 
 
-def few_repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
-    """The repeated keys, marked for broadcast, or None if there are more than ``FEW_KEYS``."""
-    repeated = settle(repeated_keys(df, keys), "repeated-keys")
-    return F.broadcast(repeated) if repeated.count() <= FEW_KEYS else None
+def few_repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The repeated keys, stored; how they are joined is left to their size as Spark knows it."""
+    return settle(repeated_keys(df, keys), "repeated-keys")
 
 
 def one_row_per_key(

@@ -29,17 +29,17 @@ def get_spark(app: str = "fleetpulse", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str | None:
+def shared_folder(spark: SparkSession) -> str:
     """The folder that survives executors: ``spark.checkpoint.dir`` of the session.
 
-    Where it is unset, a local session gets a scratch folder of its own; a
-    cluster session gets None, since a machine-local folder would not be shared.
+    Where it is unset, a local session gets a scratch folder of its own; a cluster session
+    fails, since a machine-local folder would not be shared.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     if not spark.conf.get("spark.master", "").startswith("local"):
-        return None
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.conf.get("spark.app.id")
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="fleetpulse-")
@@ -49,12 +49,8 @@ def shared_folder(spark: SparkSession) -> str | None:
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    Cuts the lineage for frames that several later jobs read. Without a shared
-    folder the frame is returned as it is and stays lazy.
+    Cuts the lineage for frames that several later jobs read.
     """
-    root = shared_folder(df.sparkSession)
-    if root is None:
-        return df
-    path = os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_folder(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -43,13 +43,15 @@ def header_groups(
     groups = [sorted(g) for g in leaders.values()]
 
     def header(group: list[str]) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).csv(group[0]).columns)
+        # a blank file has no header and says nothing of its directory
+        heads = (tuple(spark.read.option("header", True).csv(f).columns) for f in group)
+        return next(filter(None, heads), ())
 
     with ThreadPoolExecutor(HEADER_READERS) as pool:
         headers = list(pool.map(header, groups))
     out = defaultdict(list)
     for names, group in zip(headers, groups):
-        if names:  # a blank file has no header and no rows
+        if names:  # all files of the others are blank
             out[names] += group
     return dict(out)
 
@@ -67,20 +69,20 @@ def normalize(raw: DataFrame) -> DataFrame:
     """Project text columns to the typed snapshot, plus ``reject_reason`` for unusable rows.
 
     Attributes the drop does not have become NULL, an unreadable number becomes NULL,
-    an unknown failure flag 0, an absent model column the empty text. A row without a
-    readable date or without a serial number is marked for rejection.
+    an unknown or out of range failure flag 0, an absent model column the empty text. A row
+    without a date that is readable as a whole or without a serial number is marked for rejection.
     """
 
     def text(name: str) -> Column:
         return F.col(name) if name in raw.columns else F.lit(None).cast("string")
 
-    date = F.substring(text("date"), 1, 10).try_cast("date")
+    date = text("date").try_cast("timestamp_ntz").try_cast("date")
     columns = {
         "date": date,
         "serial_number": text("serial_number"),
         "model": F.col("model") if "model" in raw.columns else F.lit(""),
         "capacity_bytes": _whole_number(text("capacity_bytes")),
-        "failure": F.coalesce(_whole_number(text("failure")), F.lit(0)).cast("int"),
+        "failure": F.coalesce(_whole_number(text("failure")).try_cast("int"), F.lit(0)),
     }
     columns |= {a: _whole_number(text(a)) for a in RAW_ATTRIBUTES}
     reason = F.when(date.isNull(), "unreadable date").when(

@@ -37,7 +37,7 @@ def smart_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     returned = F.col("l_returnflag") == "R"
     return item.join(part, item.l_partkey == part.p_partkey).select(
         F.to_date("l_shipdate").alias("date"),
-        F.concat(F.lit("SN"), F.lpad(F.col("l_partkey").cast("string"), 8, "0")).alias("serial_number"),
+        F.format_string("SN%08d", F.col("l_partkey").cast("long")).alias("serial_number"),
         F.col("p_type").alias("model"),
         F.when(F.col("p_size") % 17 != 0, F.col("p_size").cast("long") * 400_000_000_000).alias("capacity_bytes"),
         F.when(
@@ -86,9 +86,6 @@ def smart_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     per-drive groupings, joins and windows read it without a shuffle. The key is
     unique, which bounds a drive's rows by the number of days.
     """
-    if shared_folder(spark) is None:
-        return smart_daily_plan(spark, sf_dir)
-
     def store(name: str, path: str) -> None:
         buckets = bucket_count(spark, os.path.join(sf_dir, "lineitem.parquet"))
         readings = smart_raw(spark, sf_dir)
@@ -120,17 +117,14 @@ def _stored_once(
 
 
 def smart_surv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Survival input: staggered start of observation, cut at the first failure."""
-    daily = smart_daily(spark, sf_dir)
-    number = F.substring("serial_number", 3, 8).cast("int")
-    start = F.date_add(F.lit("1995-01-01").cast("date"), (number * 37) % 1801)
-    first_fail = F.min(F.when(F.col("failure") == 1, F.col("date"))).over(W.partitionBy("serial_number"))
-    return (
-        daily.where(F.col("date") >= start)
-        .withColumn("first_fail", first_fail)
-        .where(F.col("first_fail").isNull() | (F.col("date") <= F.col("first_fail")))
-        .drop("first_fail")
-    )
+    """Survival input: all rows of ``smart_daily``, each drive's dates drawn together by a factor of its own.
+
+    The factor, 1/97 to 1 by the drive's number, spreads the lifetimes; no row is dropped.
+    """
+    number = F.substring("serial_number", 3, 18).cast("long")
+    origin = F.lit("1992-01-01").cast("date")
+    days = F.date_diff("date", origin).cast("long") * (1 + number % 97)
+    return smart_daily(spark, sf_dir).withColumn("date", F.date_add(origin, F.floor(days / 97).cast("int")))
 
 
 def engine_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,9 +150,6 @@ def engine_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def engine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The run-to-failure series, stored once per session."""
-    if shared_folder(spark) is None:
-        return engine_plan(spark, sf_dir)
-
     def store(name: str, path: str) -> None:
         engine_plan(spark, sf_dir).write.option("path", path).saveAsTable(name)
 

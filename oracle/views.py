@@ -3,7 +3,7 @@
 VIEWS = {
     "smart_raw": """
 SELECT CAST(l.l_shipdate AS DATE) AS date,
-       concat('SN', lpad(CAST(l.l_partkey AS STRING), 8, '0')) AS serial_number,
+       printf('SN%08d', l.l_partkey) AS serial_number,
        p.p_type AS model,
        CASE WHEN p.p_size % 17 = 0 THEN NULL ELSE CAST(p.p_size AS BIGINT) * 400000000000 END AS capacity_bytes,
        CASE WHEN l.l_returnflag = 'R' AND l.l_linestatus = 'F' AND l.l_quantity >= 47 AND l.l_linenumber >= 4 THEN 1 ELSE 0 END AS failure,
@@ -23,7 +23,7 @@ FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
 SELECT date, serial_number, model, capacity_bytes, failure, smart_5_raw, smart_9_raw, smart_187_raw, smart_188_raw, smart_194_raw, smart_197_raw, smart_198_raw, smart_199_raw, smart_241_raw, smart_242_raw
 FROM (SELECT r.*, ROW_NUMBER() OVER (PARTITION BY date, serial_number ORDER BY l_orderkey, l_linenumber, l_suppkey, smart_9_raw) AS rn FROM smart_raw r) t WHERE rn = 1""",
     "smart_surv": """
-SELECT d.* EXCLUDE (first_fail) FROM (SELECT s.*, MIN(CASE WHEN failure = 1 THEN date END) OVER (PARTITION BY serial_number) AS first_fail FROM smart_daily s WHERE date >= DATE '1995-01-01' + CAST((CAST(substr(serial_number, 3) AS INT) * 37) % 1801 AS INT)) d WHERE first_fail IS NULL OR date <= first_fail""",
+SELECT * REPLACE (DATE '1992-01-01' + CAST((date_diff('day', DATE '1992-01-01', date) * (1 + CAST(substr(serial_number, 3) AS BIGINT) % 97)) // 97 AS INTEGER) AS date) FROM smart_daily""",
     "lives": """
 SELECT serial_number, model, MIN(date) AS first_seen, MAX(date) AS last_seen,
        CAST(MAX(date) - MIN(date) + 1 AS INTEGER) AS lifetime_days, MAX(failure) AS failed

@@ -56,12 +56,7 @@ def test_regimes(spark):
     assert got == ["INFANT MORTALITY", "RANDOM FAILURES", "WEAR-OUT FAILURES", None]
 
 
-@pytest.fixture
-def always_sliced(monkeypatch):
-    monkeypatch.setattr(ordered, "FEW_ROWS", 0)
-
-
-def test_running_totals_in_slices(spark, always_sliced):
+def test_running_totals_in_slices(spark):
     rng = np.random.default_rng(5)
     values = np.unique(rng.normal(size=5000).round(4))
     counts = rng.integers(0, 9, size=len(values))
@@ -71,7 +66,7 @@ def test_running_totals_in_slices(spark, always_sliced):
 
 
 @pytest.mark.parametrize("size", [1, 2, 7, 4001])
-def test_percentiles_in_slices(spark, always_sliced, size):
+def test_percentiles_in_slices(spark, size):
     values = np.random.default_rng(size).gamma(2.0, size=size).round(2)
     # One value holds a third of all rows.
     values[: size // 3] = 1.25

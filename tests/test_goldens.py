@@ -16,7 +16,7 @@ def lives(spark, medium):
 def test_sizes(spark, medium):
     assert tables.smart_raw(spark, medium).count() == 60000
     assert tables.smart_daily(spark, medium).count() == 59657
-    assert tables.smart_surv(spark, medium).count() == 35271
+    assert tables.smart_surv(spark, medium).count() == 59657
     assert tables.engine(spark, medium).count() == 10000
 
 
@@ -35,27 +35,27 @@ def test_failure_rates(spark, medium):
 def test_annualized_rates(spark, medium):
     rows = fleet.annualized_failure_rate(tables.smart_surv(spark, medium)).collect()
     assert {r.model: (r.annualized_failure_rate, r.afr_pct) for r in rows} == {
-        "ECONOMY": (9.6879, 3.1134),
-        "LARGE": (12.6541, 3.7190),
-        "MEDIUM": (12.2971, 3.4813),
-        "PROMO": (11.6605, 3.5225),
-        "SMALL": (13.1630, 4.0869),
-        "STANDARD": (10.2970, 3.0017),
+        "ECONOMY": (19.7475, 6.3459),
+        "LARGE": (21.7122, 6.3835),
+        "MEDIUM": (18.1894, 5.1497),
+        "PROMO": (22.5937, 6.8214),
+        "SMALL": (23.4525, 7.2829),
+        "STANDARD": (19.5592, 5.6975),
     }
 
 
 def test_weibull_bounds(lives):
     histogram = survival.lifetime_histogram(lives)
     free = survival.weibull_fit(histogram, scale_bounds=(1.0, 1e9)).first()
-    assert free["shape"] == pytest.approx(0.876287, abs=1e-6)
-    assert free["scale"] == pytest.approx(13845.907, abs=1e-3)
-    bound = survival.weibull_summary(survival.weibull_fit(histogram)).first()
-    assert bound["scale"] == 10000.0
-    assert bound["shape"] == pytest.approx(0.986579, abs=1e-6)
-    assert bound["mttf"] == pytest.approx(10058.277459, abs=1e-5)
-    assert bound["b10"] == pytest.approx(1021.840085, abs=1e-5)
-    assert bound["b50"] == pytest.approx(6896.998607, abs=1e-5)
-    assert bound["regime"] == "INFANT MORTALITY"
+    assert free["shape"] == pytest.approx(1.696029, abs=1e-6)
+    assert free["scale"] == pytest.approx(3360.734, abs=1e-3)
+    bound = survival.weibull_summary(survival.weibull_fit(histogram, scale_bounds=(1.0, 2000.0))).first()
+    assert bound["scale"] == 2000.0
+    assert bound["shape"] == pytest.approx(2.182037, abs=1e-6)
+    assert bound["mttf"] == pytest.approx(1771.215986, abs=1e-5)
+    assert bound["b10"] == pytest.approx(713.075735, abs=1e-5)
+    assert bound["b50"] == pytest.approx(1690.761390, abs=1e-5)
+    assert bound["regime"] == "WEAR-OUT FAILURES"
 
 
 def test_published_weibull_metrics(spark):
@@ -71,17 +71,17 @@ def test_published_weibull_metrics(spark):
 def test_kaplan_meier(lives):
     curve = survival.kaplan_meier(survival.lifetime_histogram(lives))
     last = curve.orderBy(F.desc("t")).first()
-    assert last["t"] == 2362 and last["survival"] == pytest.approx(0.780077, abs=1e-6)
-    assert survival.median_survival(curve).first()[0] is None
-    assert survival.survival_at(curve, [365]).first()["survival"] == pytest.approx(0.965948, abs=1e-6)
+    assert last["t"] == 2476 and last["survival"] == pytest.approx(0.118321, abs=1e-6)
+    assert survival.median_survival(curve).first()[0] == 2286
+    assert survival.survival_at(curve, [365]).first()["survival"] == pytest.approx(0.965022, abs=1e-6)
     nearest = survival.survival_at(curve, [365], lookup="next").first()
-    assert nearest["survival"] == pytest.approx(0.965445, abs=1e-6)
+    assert nearest["survival"] == pytest.approx(0.963880, abs=1e-6)
 
 
 def test_chi_square(lives):
     row = survival.compare_failure_rates(lives, "LARGE", "STANDARD").first()
-    assert row["chi2_statistic"] == pytest.approx(0.555568, abs=1e-6)
-    assert row["p_value"] == pytest.approx(0.456051, abs=1e-6)
+    assert row["chi2_statistic"] == pytest.approx(1.234871, abs=1e-6)
+    assert row["p_value"] == pytest.approx(0.266462, abs=1e-6)
     assert row["significant"] is False
 
 

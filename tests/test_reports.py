@@ -95,6 +95,6 @@ def test_report_packs(spark, small):
     pack = reports.fleet_report(tables.smart_daily(spark, small), min_drives=10)
     assert pack["overview"].count() == 1 and pack["models"].count() == 6
     study = reports.reliability_study(tables.smart_surv(spark, small), min_drives=10)
-    assert study["weibull"].first()["shape"] == pytest.approx(0.799040, abs=1e-6)
+    assert study["weibull"].first()["shape"] == pytest.approx(1.664706, abs=1e-6)
     assert study["models"].count() == 5 and study["survival"].count() == 5
     assert study["reliability"].count() == 4

@@ -7,8 +7,6 @@ import pytest
 
 import __spark_entry__ as registry
 from compare import TABLES, compare, connect
-from fleetpulse.functions import ordered
-from fleetpulse.operators import keys
 
 NAMES = [
     "S7_unique_rows", "S7_surplus_rows", "S8_load_totals", "A1_overview", "A2_monthly", "A3_failure_by_model",
@@ -42,9 +40,6 @@ def skewed(small, tmp_path_factory):
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_skewed_tables(spark, skewed, monkeypatch, name):
-    # Take the ways meant for large inputs.
-    monkeypatch.setattr(ordered, "FEW_ROWS", 0)
-    monkeypatch.setattr(keys, "FEW_KEYS", 0)
+def test_skewed_tables(spark, skewed, name):
     query, sql = registry.queries()[name], registry.oracle_sql()[name]
     assert compare(query(spark, skewed), connect(skewed), sql) is None
