@@ -210,13 +210,14 @@ def apply_rules(counts: DataFrame, rules: list[Rule]) -> DataFrame:
 def judge(counts: DataFrame, labels: DataFrame, max_labelled: int = 6000) -> DataFrame:
     """Learn a decision list from ``labels`` (doc_id, quality) and apply it to all of ``counts``.
 
-    ``counts`` comes from ``text_counts`` and is read twice, so store it first. The list is
-    learned on the driver from at most ``max_labelled`` rows of nine numbers; every text is
+    ``counts`` comes from ``text_counts``; it is stored, since it is read twice and a filter
+    must not take its array expressions apart. The list is learned on the driver from at most ``max_labelled`` rows of nine numbers; every text is
     then judged by Spark conditional expressions.
 
     Nulls and empty texts have no words and fail the base rule; without labels of both
     kinds the list is empty and the base rule alone decides. Repeated rows are judged alike.
     """
+    counts = settle(counts, "counts")
     return apply_rules(counts, learn_list(labelled_sample(counts, labels, max_labelled)))
 
 
@@ -225,4 +226,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000) -> D
 
     The counts are stored next to their rows, so they are taken once and no row is shuffled.
     """
-    return judge(settle(text_counts(docs), "counted"), labels, max_labelled).where("kept").select("doc.*")
+    return judge(text_counts(docs), labels, max_labelled).where("kept").select("doc.*")

@@ -15,7 +15,6 @@ from fleetpulse.llm import (
     token_counts,
     toxicity,
 )
-from fleetpulse.session import settle
 
 
 def vocabulary() -> str:
@@ -75,7 +74,7 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = settle(quality_rules.text_counts(table(spark, sf_dir, "documents")).drop("doc"), "counts")
+    counts = quality_rules.text_counts(table(spark, sf_dir, "documents")).drop("doc")
     judged = quality_rules.judge(counts, table(spark, sf_dir, "labels"))
     return judged.select(F.col("id").alias("doc_id"), *quality_rules.COUNTS, "base_failed", "kept")
 
