@@ -115,12 +115,15 @@ def shared_rare_shingles(rest: DataFrame, texts: DataFrame, percent: int) -> Dat
     rank = F.row_number().over(W.partitionBy("id").orderBy("df", "g"))
     ranked = common.select("id", "c", "n", "g", rank.alias("rank"), F.count("*").over(W.partitionBy("id")).alias("n_common"))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    ranked = ranked.where(F.col("rank") <= prefix - (F.col("n") - F.col("n_common"))).drop("rank", "df")
-    other = ranked.select(F.col("id").alias("b"), F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("n_common").alias("common_b"), "g")
+    ranked = ranked.where(F.col("rank") <= prefix - (F.col("n") - F.col("n_common"))).drop("df")
+    whole = W.partitionBy("id").orderBy("rank").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    ranked = ranked.withColumn("held", F.collect_list("g").over(whole)).withColumn("rest", F.col("n_common") - F.col("rank") + 1)
+    other = ranked.select(F.col("id").alias("b"), F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"), F.col("held").alias("held_b"), "g")
     near = (F.col("id") < F.col("b")) & (F.col("c") != F.col("c_b"))
-    # what two sets share is at most what either shares with any other
-    near &= (100 + percent) * F.least("n_common", "common_b") >= percent * (F.col("n") + F.col("n_b"))
-    return ranked.join(other, "g").where(near).select(F.col("id").alias("a"), "b").distinct()
+    # from the first shingle that both hold, two sets share at most what either has left to share with any other
+    near &= (100 + percent) * F.least("rest", "rest_b") >= percent * (F.col("n") + F.col("n_b"))
+    near &= F.get(F.array_intersect("held", "held_b"), F.lit(0)) == F.col("g")
+    return ranked.join(other, "g").where(near).select(F.col("id").alias("a"), "b")
 
 
 def link_documents(docs: DataFrame, percent: int = 85, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
