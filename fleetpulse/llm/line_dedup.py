@@ -40,7 +40,9 @@ def keep_bitmaps(documents: DataFrame, min_docs: int, keep: str) -> DataFrame:
         raise ValueError(f"keep must be 'none' or 'first', not {keep!r}")
     lines = line_keys(documents)
     frequent = first_occurrences(lines).where(F.col("n_docs") >= min_docs)
-    dropped = lines.join(frequent, ["h1", "h2"])
+    # a join on h1 and h2 would run in the task of the count, out of reach of the adaptive skew split
+    key = [F.bitwise_not("h1").alias("k1"), F.bitwise_not("h2").alias("k2")]
+    dropped = lines.select("id", "fp", "pos", *key).join(frequent.select(*key, "first"), ["k1", "k2"])
     if keep == "first":
         dropped = dropped.where(~F.struct("id", "pos", "fp").eqNullSafe(F.col("first")))
     return (
