@@ -6,8 +6,14 @@ from fleetpulse.session import settle
 
 
 def _spread(edges: DataFrame, least_of: DataFrame) -> DataFrame:
-    """(v, m): both ends of each edge with the least neighbour ``m`` of its upper end ``u``."""
-    return edges.join(least_of, "u")
+    """(u, v, m): each edge with the least neighbour ``m`` of its end ``u``.
+
+    ``least_of`` is already dealt by ``u``, and a join on ``u`` would run in the task of that
+    aggregate, where the adaptive skew split can't cut a node with very many edges. The
+    join takes a key made of ``u`` instead, so both sides come from shuffles of their own.
+    """
+    key = F.bitwise_not("u").alias("key")
+    return edges.select(key, "u", "v").join(least_of.select(key, "m"), "key")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
