@@ -74,9 +74,23 @@ def rolling_features(df: DataFrame, by: str = "rows", trend: bool = False) -> Da
 
 
 def latest_features(df: DataFrame, by: str = "rows") -> DataFrame:
-    """Model inputs at every drive's last date, in the shape of scoring requests."""
-    last = F.max("date").over(W.partitionBy("serial_number"))
-    return rolling_features(df, by).withColumn("_last", last).where("date = _last").drop("_last")
+    """Model inputs at every drive's last date, in the shape of scoring requests.
+
+    The frames look back 30 readings at most, so only a drive's last 30 rows reach them
+    (Spark limits them per map task); what depends on its first row comes from an aggregate.
+    """
+    newest = W.partitionBy("serial_number").orderBy(F.desc("date"))
+    tail = df.withColumn("_back", F.row_number().over(newest)).where("_back <= 30")
+    latest = rolling_features(tail, by).where("_back = 1").drop("_back")
+    first = F.min_by(F.struct("date", "model", "capacity_bytes"), "date").alias("_first")
+    first = df.groupBy("serial_number").agg(first)
+    capacity = F.col("_first.capacity_bytes")
+    of_first = {
+        "model": F.col("_first.model"),
+        "age_days": F.datediff("date", "_first.date"),
+        "capacity_tb": F.when(capacity > 0, capacity / F.lit(float(TB))).otherwise(F.lit(0.0)),
+    }
+    return latest.join(first, "serial_number").select(*[of_first.get(c, F.col(c)).alias(c) for c in latest.columns])
 
 
 def add_labels(df: DataFrame) -> DataFrame:

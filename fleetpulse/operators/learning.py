@@ -36,9 +36,10 @@ def with_split(
 ) -> DataFrame:
     """Add ``split``: train, validation or test.
 
-    A hash assigns the rows, so nothing is shuffled, reruns agree, and every class
-    keeps its share. ``by='drive'`` puts all rows of a drive on one side; ``by='row'``
-    lets one drive fall on several. ``validation`` is a share of what ``test`` leaves.
+    A hash assigns the rows, so nothing is shuffled and reruns agree. The split is not
+    stratified: a class keeps its share on average only, and a rare one may differ between
+    the parts. ``by='drive'`` puts all rows of a drive on one side; ``by='row'`` lets one
+    drive fall on several. ``validation`` is a share of what ``test`` leaves.
     """
     keys = {"drive": ["serial_number"], "row": ["serial_number", "date"]}[by]
     u = unit_hash(seed, *keys)
