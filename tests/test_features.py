@@ -91,3 +91,21 @@ def test_training_set_shape(spark, small):
     assert df.select("serial_number").distinct().count() == 44 + 20
     matrix = features.training_matrix(df)
     assert matrix.dropna().count() == df.count()
+
+
+@pytest.mark.parametrize("by", ["rows", "days"])
+def test_latest_features_equal_the_last_rows_of_all(spark, by):
+    rows = series(spark, days=60) + series(spark, days=9, drives=5)[-8:] + [{"date": day(3), "serial_number": "alone"}]
+    df = snapshots(spark, rows)
+    latest = features.latest_features(df, by)
+    whole = features.rolling_features(df, by).toPandas().sort_values(["serial_number", "date"])
+    want = whole.groupby("serial_number").tail(1).reset_index(drop=True)
+    got = latest.toPandas().sort_values("serial_number").reset_index(drop=True)
+    pd.testing.assert_frame_equal(got, want, check_dtype=False)
+    assert "alone" not in set(got.serial_number)
+
+
+def test_latest_features_window_over_the_tail_only(spark):
+    latest = features.latest_features(snapshots(spark, series(spark)))
+    plan = latest._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("smart_5_raw_mean_30d") < plan.index("WindowGroupLimit")
