@@ -25,8 +25,9 @@ def life_spans(df: DataFrame) -> DataFrame:
 def remaining_life(df: DataFrame) -> DataFrame:
     """Add ``RUL``: cycles left until the engine's last one.
 
-    A map-side maximum joined back to its rows: an engine with very many rows is
-    split by the adaptive skew join instead of filling one window partition.
+    A map-side maximum joined back to its rows, without a window. Where the maxima are too
+    many to broadcast, the join runs in the task of the maximum, so the adaptive skew split
+    does not reach an engine with very many rows: one task streams it.
     """
     return (
         df.join(life_spans(df), "engine_id")
