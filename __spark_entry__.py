@@ -32,8 +32,6 @@ else:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Rounds of the registered training runs; the library default is 200.
-CHECK_ROUNDS = 10
 HEALTHY_DRIVES = 3000
 
 
@@ -208,12 +206,12 @@ def _engine_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _training(tables.smart_daily(spark, sf_dir))
-    return rounded(training.compare_models(table, rounds=CHECK_ROUNDS)[0])
+    return rounded(training.compare_models(table)[0])
 
 
 def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix = _matrix(tables.smart_daily(spark, sf_dir)).where(F.col("split") == "train")
-    return rounded(learning.feature_importance(learning.train(settle(matrix, "train"), "forest", rounds=CHECK_ROUNDS)))
+    return rounded(learning.feature_importance(learning.train(settle(matrix, "train"), "forest")))
 
 
 def _two_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,7 +223,7 @@ def _two_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = []
     for target in ("will_fail_30d", "will_fail_60d"):
         matrix = learning.with_split(features.training_matrix(table, target)).where(F.col("split") == "train")
-        model = learning.train(matrix, "forest", rounds=CHECK_ROUNDS)
+        model = learning.train(matrix, "forest")
         scored.append(scoring.score_batch(requests, scoring.model_scorer(model), day))
     return rounded(scoring.prediction_rows(*scored, day, "forest").drop("created_at"))
 
@@ -233,7 +231,7 @@ def _two_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _model_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, store, load again, describe."""
     matrix = settle(_matrix(tables.smart_daily(spark, sf_dir)), "matrix")
-    model = learning.train(matrix.where(F.col("split") == "train"), "forest", rounds=CHECK_ROUNDS)
+    model = learning.train(matrix.where(F.col("split") == "train"), "forest")
     metrics = learning.evaluate(learning.predict(model, matrix.where(F.col("split") == "test")))
     path = _scratch(spark, "bundle")
     learning.save_bundle(model, path, "forest", metrics, FEATURE_COLUMNS)
