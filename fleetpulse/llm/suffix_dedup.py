@@ -301,6 +301,39 @@ def _sorted_suffixes(length: int, rows_at_once: int):
     return batches
 
 
+def _strings(length: int):
+    """Each string of the stretches, as a row of its own."""
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            row, fp, lo, cnt = (batch[c].to_numpy(zero_copy_only=False) for c in ("id", "fp", "lo", "cnt"))
+            texts = batch["ctx"].to_pylist()
+            for a in range(0, len(texts), 1000):
+                part = slice(a, a + 1000)
+                n = cnt[part]
+                place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                strings = [t[k : k + length] for t, c in zip(texts[part], n, strict=True) for k in range(c)]
+                yield _batch(_STRING, *(np.repeat(c[part], n) for c in (row, fp)), np.repeat(lo[part], n) + place, strings)
+
+    return batches
+
+
+_STRING = pa.schema([*_ROW[:3], ("string", pa.binary())])
+
+
+def _later_strings(stretches_of: DataFrame, length: int) -> DataFrame:
+    """What ``Suffixes.later`` finds, string by string: none of it is held by one task.
+
+    A string's least place is found map-side first; the join back has a key of its own, so
+    a string with very many places can be split. Strings are compared by their bytes.
+    """
+    strings = stretches_of.mapInArrow(_strings(length), "id long, fp long, lo long, string binary")
+    first = strings.groupBy("string").agg(F.min(F.struct("id", "fp", "lo")).alias("first"))
+    first = first.select(F.xxhash64("string").alias("h"), F.col("string").alias("same"), "first")
+    met = strings.withColumn("h", F.xxhash64("string")).join(first, "h").where("string = same")
+    return met.where(F.struct("id", "fp", "lo") != F.col("first")).select("id", "fp", "lo", F.lit(1).alias("cnt"))
+
+
 def _applied(length: int):
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
@@ -321,7 +354,7 @@ def _applied(length: int):
     return batches
 
 
-def dedup_bytes(docs: DataFrame, columns: list[str] | None = None, length: int = LENGTH, gram: int = GRAM, rows_at_once: int = 20_000) -> DataFrame:
+def dedup_bytes(docs: DataFrame, columns: list[str] | None = None, length: int = LENGTH, gram: int = GRAM, rows_at_once: int = 20_000, group_rows: int = 5_000) -> DataFrame:
     """Remove every byte covered by a string of ``length`` bytes that also starts earlier.
 
     Earlier is a smaller doc_id (nulls first), or an earlier start in the same document;
@@ -331,7 +364,8 @@ def dedup_bytes(docs: DataFrame, columns: list[str] | None = None, length: int =
     Shuffled are one row per stretch, some 3 for 100 bytes (a stretch that fills a third of
     the corpus sends one row per batch; the range shuffle splits an anchor that does), and
     the bytes of stretches whose anchor occurs in several contexts. The latter are sorted
-    inside groups that agree in 66 bytes; such a group is held by one task.
+    inside groups that agree in 66 bytes. A group of up to ``group_rows`` is held by one
+    task; a larger one is exchanged for its strings, one row each, and is spread.
 
     Null texts count as empty; texts shorter than ``length`` stay whole. Rows that share
     doc_id and text are one document and get equal results; rows that share only the
@@ -342,10 +376,24 @@ def dedup_bytes(docs: DataFrame, columns: list[str] | None = None, length: int =
     found = narrow.mapInArrow(_stretch_rows(length, gram), _FOUND_DDL)
     ranged = found.repartitionByRange("g", "s").sortWithinPartitions("g", "s", "id", "fp", "lo")
     met = settle(ranged.mapInArrow(_heads, "id long, fp long, lo long, cnt int, at short, g long, head boolean"), "stretches")
-    heads = met.where("head").groupBy("id", "fp").agg(F.collect_list(F.struct("lo", "cnt", "at")).alias("heads"))
-    contexts = narrow.join(heads, ["id", "fp"]).mapInArrow(_contexts(length, gram), _CONTEXT_DDL)
-    grouped = contexts.repartition("key").sortWithinPartitions("key", "id", "fp", "lo")
+    heads = met.where("head")
+    # a group's rows come from different stretches of one anchor, so only common anchors can have a large one
+    common = settle(heads.groupBy("g").count().where(F.col("count") > group_rows).select("g"), "common-anchors")
+    several = not common.isEmpty()
+
+    def contexts(some: DataFrame) -> DataFrame:
+        places = some.groupBy("id", "fp").agg(F.collect_list(F.struct("lo", "cnt", "at")).alias("heads"))
+        return narrow.join(places, ["id", "fp"]).mapInArrow(_contexts(length, gram), _CONTEXT_DDL)
+
+    held = contexts(heads.join(common, "g", "left_anti") if several else heads)
+    if several:
+        apart = settle(contexts(heads.join(common, "g", "left_semi")), "common-contexts")
+        large = settle(apart.groupBy("key").count().where(F.col("count") > group_rows).select("key"), "large-groups")
+        held = held.unionByName(apart.join(large, "key", "left_anti").select(*held.columns))
+    grouped = held.repartition("key").sortWithinPartitions("key", "id", "fp", "lo")
     later = grouped.mapInArrow(_sorted_suffixes(length, rows_at_once), "id long, fp long, lo long, cnt int")
+    if several:
+        later = later.unionByName(_later_strings(apart.join(large, "key", "left_semi"), length))
     spans = met.where("not head").select("id", "fp", "lo", "cnt").unionByName(later).groupBy("id", "fp")
     spans = spans.agg(F.collect_list(F.struct("lo", "cnt")).alias("spans"))
     kept = documents.select(F.struct(*[F.col("doc")[c].alias(c) for c in columns or docs.columns]).alias("doc"), "id", "fp", "text")
