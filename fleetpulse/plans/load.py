@@ -9,7 +9,7 @@ from fleetpulse.schema import SNAPSHOT, SNAPSHOT_KEY
 from fleetpulse.session import settle
 from fleetpulse.sources.csv_drops import FILE, REASON, accepted, load_audit, read_drops, rejected
 from fleetpulse.sources.snapshot_store import (
-    already_stored, append_snapshots, not_yet_stored, same_quarters, stored_snapshots,
+    append_snapshots, not_yet_stored, replace_snapshots, same_quarters, stored_snapshots,
 )
 from fleetpulse.streaming.drops import drop_stream
 
@@ -19,8 +19,10 @@ ORDER = [c for c in SNAPSHOT.fieldNames() if c not in SNAPSHOT_KEY]
 def store(parsed: DataFrame, table: str, quarantine: str) -> None:
     """Append parsed snapshots to the table, each key once.
 
-    Rows without a usable key, surplus rows of a key, and keys the table already holds
-    go to ``quarantine`` with a reason. Only the quarters the rows lie in are looked up.
+    Of the rows of a key the least in ``ORDER`` stays, whichever load brings it: it takes the
+    place of a stored row that comes after it. Rows without a usable key, surplus rows of a
+    key, replaced rows, and rows whose key the table already holds go to ``quarantine`` with
+    a reason. Only the quarters the rows lie in are looked up.
     """
     usable = accepted(parsed)
     repeated = few_repeated_keys(usable, SNAPSHOT_KEY)
@@ -33,8 +35,14 @@ def store(parsed: DataFrame, table: str, quarantine: str) -> None:
     stored = stored_snapshots(parsed.sparkSession, table)
     if stored is not None:
         stored = same_quarters(stored, usable)
-        known = already_stored(unique, stored).withColumn("copies", once)
+        held = stored.select(*SNAPSHOT_KEY, F.struct(*ORDER).alias("_held"))
+        met = settle(unique.join(held, SNAPSHOT_KEY), "met-keys")
+        before = F.struct(*ORDER) < F.col("_held")
+        known = met.where(~before).select(*unique.columns).withColumn("copies", once)
         out = out.unionByName(known.withColumn(REASON, F.lit("key already stored")))
+        better = met.where(before)
+        replaced = better.select(*SNAPSHOT_KEY, "_held.*").withColumn("copies", once)
+        out = out.unionByName(replaced.withColumn(REASON, F.lit("repeated key")))
         unique = not_yet_stored(unique, stored)
     # Two independent jobs over the same stored rows; the small one need not wait.
     with ThreadPoolExecutor(2) as pool:
@@ -44,6 +52,8 @@ def store(parsed: DataFrame, table: str, quarantine: str) -> None:
         ]
         for job in jobs:
             job.result()
+    if stored is not None and not better.isEmpty():
+        replace_snapshots(better, table)
 
 
 def load_drops(
@@ -59,19 +69,21 @@ def load_drops(
 
 
 def load_new_drops(
-    spark: SparkSession, raw_path: str, table: str, quarantine: str, state: str, header: list[str]
+    spark: SparkSession, raw_path: str, table: str, quarantine: str, state: str, header: list[str],
+    files_per_batch: int = 1000,
 ) -> None:
     """Load the files that share ``header`` and were not seen before, then stop.
 
-    ``state`` keeps the list of files taken in. A batch that is repeated after a failure
-    finds its keys stored and adds nothing to the table twice.
+    ``files_per_batch`` has no part in which rows are stored. ``state`` keeps the list of
+    files taken in. A batch that is repeated after a failure finds its keys stored and adds
+    nothing to the table twice.
     """
 
     def batch(parsed: DataFrame, _: int) -> None:
         store(settle(parsed, "parsed-batch"), table, quarantine)
 
     query = (
-        drop_stream(spark, raw_path, header)
+        drop_stream(spark, raw_path, header, files_per_batch)
         .writeStream.foreachBatch(batch)
         .option("checkpointLocation", state)
         .trigger(availableNow=True)

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from fleetpulse.schema import SNAPSHOT, SNAPSHOT_KEY
+from fleetpulse.session import settle
 
 NULL_TEXT = "\\N"
 QUARTER = T.StructField("quarter", T.StringType())
@@ -63,8 +64,16 @@ def not_yet_stored(df: DataFrame, stored: DataFrame) -> DataFrame:
     return df.join(stored.select(*SNAPSHOT_KEY), SNAPSHOT_KEY, "left_anti")
 
 
-def already_stored(df: DataFrame, stored: DataFrame) -> DataFrame:
-    return df.join(stored.select(*SNAPSHOT_KEY), SNAPSHOT_KEY, "left_semi").select(*df.columns)
+def replace_snapshots(df: DataFrame, path: str) -> None:
+    """Put ``df`` in the place of the stored rows with its keys; only its quarters are written anew.
+
+    The new content is stored in the shared folder first, since a table cannot be read while
+    it is overwritten.
+    """
+    held = same_quarters(read_snapshots(df.sparkSession, path), df)
+    rows = not_yet_stored(held, df).select(*SNAPSHOT.fieldNames()).unionByName(df.select(*SNAPSHOT.fieldNames()))
+    rows = settle(rows, "rewritten-quarters").withColumn("quarter", quarter_of(F.col("date")))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("quarter").parquet(path)
 
 
 def write_exchange(df: DataFrame, path: str) -> None:
