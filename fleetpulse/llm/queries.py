@@ -39,6 +39,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduped.select("doc.doc_id", "n_sentences", "n_removed", "n_spans", sha256("kept_text"))
 
 
+def op2_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"), cut=substring_dedup.pieces)
+    return deduped.select("doc.doc_id", F.col("n_sentences").alias("n_pieces"), "n_removed", "n_spans", sha256("kept_text"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     network = toxicity.train(toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), max_labelled=1600))
@@ -82,6 +87,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_substring_dedup": op2_substring_dedup,
+    "op2_passage_dedup": op2_passage_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
     "op5_minhash_dedup": op5_minhash_dedup,
