@@ -26,8 +26,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return minhash_dedup.keep_one(docs)
+    """One document of each group of near copies, alike by four fifths of their shingles, stays."""
+    return minhash_dedup.keep_one(docs, percent=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
