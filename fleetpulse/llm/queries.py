@@ -10,6 +10,7 @@ from fleetpulse.llm import (
     mixing,
     packing,
     quality_rules,
+    sentence_pieces,
     substring_dedup,
     suffix_dedup,
     token_counts,
@@ -21,6 +22,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_vocabulary() -> str:
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -84,6 +89,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("doc_id"), *quality_rules.COUNTS, "base_failed", "kept")
 
 
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentence_pieces.encode_documents(table(spark, sf_dir, "documents"), piece_vocabulary(), ["doc_id"])
+    digests = [F.sha2(F.col(c), 256).alias(f"{c}_sha256") for c in ("ids", "decoded")]
+    return encoded.select("doc.doc_id", "n_tokens", *digests)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -96,4 +107,5 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_sentence_pieces": op11_sentence_pieces,
 }
