@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetpulse.llm import (
+    conversation_repair,
     embedding_dedup,
     line_dedup,
     minhash_dedup,
@@ -95,6 +96,11 @@ def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc.doc_id", "n_tokens", *digests)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_conversations(conversation_repair.damaged(conversations), conversations)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -108,4 +114,5 @@ QUERIES = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_sentence_pieces": op11_sentence_pieces,
+    "op13_conversation_repair": op13_conversation_repair,
 }
