@@ -81,4 +81,72 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM placed
 """
 
-ORACLE = {"op1_line_dedup": OP1, "op2_substring_dedup": OP2, "op8_mixing": OP8}
+# CRC-32 of a text of ASCII letters, bit by bit; the constant is its polynomial.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::UBIGINT, [ascii(ch)::UBIGINT FOR ch IN string_split({}, '')]),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::UBIGINT FOR i IN range(8)]),
+    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)), 4294967295::UBIGINT)"""
+
+_SPOT = _CRC32.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")
+
+# Tops of the stack: 0 nothing yet, 1 a system turn, 2 a user's turn, 3 a whole pair.
+OP13 = f"""
+WITH RECURSIVE spotted AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_SPOT} % 20 AS spot FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN spot = 4 THEN 'user' ELSE role END AS role,
+         CASE spot WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM spotted, (VALUES (1), (2)) AS c(copy) WHERE spot <> 0 AND (copy = 1 OR spot = 3)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+         rtrim(text, {_WHITE}) AS bare
+  FROM damaged
+), seen AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS nth,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM placed
+), judged AS (
+  SELECT conv_id, turn, role, text, pos, left(role, 1) AS initial, left(before, 1) || left(role, 1) AS pair,
+         CASE WHEN bare = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+              WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM seen
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS last_pos
+  FROM judged GROUP BY conv_id
+), inserts(top, onto, cost, edits, turns) AS (
+  VALUES (0, 0, 0, '', []::VARCHAR[]), (0, 2, 2, 'I', ['user:']), (0, 3, 4, 'II', ['user:', 'assistant:']),
+         (1, 1, 0, '', []), (1, 2, 2, 'I', ['user:']), (1, 3, 4, 'II', ['user:', 'assistant:']),
+         (2, 2, 0, '', []), (2, 3, 2, 'I', ['assistant:']), (3, 3, 0, '', []), (3, 2, 2, 'I', ['user:'])
+), shifts(top, initial, onto) AS (
+  VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), edits AS (
+  SELECT conv_id, pos, t.top, s.onto, CASE WHEN s.initial = j.initial THEN 0 ELSE 2 END + (fault = 'truncated')::INT AS cost,
+         CASE WHEN s.initial = j.initial THEN 'K' ELSE 'R' END AS edit,
+         [CASE WHEN s.initial = j.initial THEN role WHEN s.initial = 'u' THEN 'user' ELSE 'assistant' END || ':' || text] AS kept
+  FROM judged j, (VALUES (0), (1), (2), (3)) AS t(top) JOIN shifts s ON s.top = t.top
+  WHERE fault NOT IN ('blank', 'duplicate') AND (s.initial = j.initial OR s.initial <> 's')
+  UNION ALL
+  SELECT conv_id, pos, top, top, 3, 'D', [] FROM judged, (VALUES (0), (1), (2), (3)) AS t(top)
+), paths AS (
+  SELECT conv_id, 0::BIGINT AS pos, 0 AS top, {{'cost': 0::BIGINT, 'audit': '', 'kept': []::VARCHAR[]}} AS best FROM counted
+  UNION ALL
+  SELECT p.conv_id, p.pos + 1 AS pos, e.onto AS top,
+         min({{'cost': p.best.cost + i.cost + e.cost, 'audit': p.best.audit || i.edits || e.edit,
+               'kept': list_concat(list_concat(p.best.kept, i.turns), e.kept)}})
+  FROM paths p JOIN inserts i ON i.top = p.top
+  JOIN edits e ON e.conv_id IS NOT DISTINCT FROM p.conv_id AND e.pos = p.pos + 1 AND e.top = i.onto
+  GROUP BY p.conv_id, p.pos + 1, e.onto
+), repaired AS (
+  SELECT p.conv_id, min({{'cost': p.best.cost + i.cost, 'audit': p.best.audit || i.edits, 'kept': list_concat(p.best.kept, i.turns)}}) AS best
+  FROM paths p JOIN counted c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.last_pos = p.pos
+  JOIN inserts i ON i.top = p.top AND i.onto IN (0, 3) GROUP BY p.conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(r.best.cost, 0)::BIGINT AS cost,
+       coalesce(r.best.audit, '') AS audit, sha256(coalesce(array_to_string(r.best.kept, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+ORACLE = {"op1_line_dedup": OP1, "op2_substring_dedup": OP2, "op8_mixing": OP8, "op13_conversation_repair": OP13}
