@@ -149,4 +149,58 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
 """
 
-ORACLE = {"op1_line_dedup": OP1, "op2_substring_dedup": OP2, "op8_mixing": OP8, "op13_conversation_repair": OP13}
+def _hashed(*columns: str) -> str:
+    """The leaf of a row, as SQL."""
+    return "sha256(" + " || ".join(f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in columns) + ")"
+
+
+# Level k of a tree holds the hashes of each two neighbours of level k - 1; the languages' roots are the leaves of the last tree.
+OP12 = f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, coalesce('+' || lang, '') AS tree, {_hashed("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {_CRC32.format("coalesce(doc_id, 0)::VARCHAR")} % 7 = 0
+              THEN {_hashed("doc_id", "source", "lang", "(n_chars + 1)", "text")} END AS tampered
+  FROM documents
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY tree) AS total
+  FROM rows
+), nodes AS (
+  SELECT tree, 0 AS level, place, total, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT tree, level + 1 AS level, place // 2 AS place, (total + 1) // 2 AS total, sha256(string_agg(digest, '' ORDER BY place))
+  FROM nodes WHERE total > 1 GROUP BY tree, level + 1, place // 2, (total + 1) // 2
+), subroots AS (
+  SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS total FROM nodes WHERE total = 1
+), upper_nodes AS (
+  SELECT 0 AS level, place, total, digest FROM subroots
+  UNION ALL
+  SELECT level + 1 AS level, place // 2 AS place, (total + 1) // 2 AS total, sha256(string_agg(digest, '' ORDER BY place))
+  FROM upper_nodes WHERE total > 1 GROUP BY level + 1, place // 2, (total + 1) // 2
+), climb AS (
+  SELECT doc_id, tree, leaf, place, total, 0 AS level, coalesce(tampered, leaf) AS folded, '' AS proof FROM leaves
+  UNION ALL
+  SELECT c.doc_id, c.tree, c.leaf, c.place // 2 AS place, (c.total + 1) // 2 AS total, c.level + 1 AS level,
+         sha256(CASE WHEN c.place % 2 = 1 THEN s.digest || c.folded ELSE c.folded || coalesce(s.digest, '') END) AS folded,
+         c.proof || coalesce(s.digest, '') AS proof
+  FROM climb c LEFT JOIN nodes s
+    ON s.tree = c.tree AND s.level = c.level AND s.place = c.place + 1 - 2 * (c.place % 2)
+  WHERE c.total > 1
+), climbed AS (
+  SELECT c.doc_id, c.leaf, s.digest AS subroot, s.place, s.total, c.folded, c.proof
+  FROM climb c JOIN subroots s ON s.tree = c.tree WHERE c.total = 1
+), onward AS (
+  SELECT doc_id, leaf, subroot, place, total, 0 AS level, folded, proof FROM climbed
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.subroot, c.place // 2 AS place, (c.total + 1) // 2 AS total, c.level + 1 AS level,
+         sha256(CASE WHEN c.place % 2 = 1 THEN s.digest || c.folded ELSE c.folded || coalesce(s.digest, '') END) AS folded,
+         c.proof || coalesce(s.digest, '') AS proof
+  FROM onward c LEFT JOIN upper_nodes s ON s.level = c.level AND s.place = c.place + 1 - 2 * (c.place % 2)
+  WHERE c.total > 1
+), root AS (
+  SELECT digest AS root FROM upper_nodes WHERE total = 1
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM onward, root WHERE total = 1
+"""
+
+ORACLE = {"op1_line_dedup": OP1, "op2_substring_dedup": OP2, "op8_mixing": OP8, "op12_merkle_manifest": OP12, "op13_conversation_repair": OP13}

@@ -7,6 +7,7 @@ from fleetpulse.llm import (
     conversation_repair,
     embedding_dedup,
     line_dedup,
+    merkle_manifest,
     minhash_dedup,
     mixing,
     packing,
@@ -96,6 +97,10 @@ def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc.doc_id", "n_tokens", *digests)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.verified(table(spark, sf_dir, "documents"), tampered=merkle_manifest.crc_tampered())
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return conversation_repair.repair_conversations(conversation_repair.damaged(conversations), conversations)
@@ -114,5 +119,6 @@ QUERIES = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_sentence_pieces": op11_sentence_pieces,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_conversation_repair": op13_conversation_repair,
 }
