@@ -63,11 +63,19 @@ def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
+def reach(length: int, gram: int) -> int:
+    """How many bytes a string of ``length`` holds at least on one side of an anchor inside it."""
+    return (length - gram + 1) // 2
+
+
 def stretches(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(lo, cnt, at, g, s) of each stretch: its strings start at lo, lo + 1, ...; the anchor starts at lo + at.
+    """(lo, cnt, at, g, s, sides) of each stretch: its strings start at lo, lo + 1, ...; the anchor starts at lo + at.
 
-    ``g`` is the hash of the anchor, ``s`` of all bytes of the stretch with the anchor's place in it.
+    ``g`` is the hash of the anchor, ``s`` of all bytes of the stretch with the anchor's place in
+    it. ``sides`` holds 32 bits each of the hashes of the anchor with the ``half`` bytes before
+    it and of the anchor with those after it, where the stretch has a string that reaches so far.
     """
+    half = reach(length, gram)
     out = []
     for begin in range(0, len(data) - length + 1, _SPAN):
         part = data[begin : begin + _SPAN + length - 1]
@@ -81,13 +89,16 @@ def stretches(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...
         cnt = np.diff(lo, append=len(anchor))
         at = anchor[lo] - lo
         s = mixed(hashes.of(lo, lo + cnt + length - 1) + mixed((cnt * 256 + at + 1).astype(np.uint64)))
-        out.append((lo + begin, cnt, at, grams[anchor[lo]], s))
+        a = anchor[lo]
+        left = mixed(hashes.of(np.maximum(a - half, 0), a + gram)) >> np.uint64(32) << np.uint64(32)
+        right = mixed(hashes.of(a, np.minimum(a + gram + half, len(part))) + np.uint64(1)) >> np.uint64(32)
+        out.append((lo + begin, cnt, at, grams[a], s, left | right))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
 _ROW = [("id", pa.int64()), ("fp", pa.int64()), ("lo", pa.int64()), ("cnt", pa.int32())]
-_FOUND = pa.schema([*_ROW, ("at", pa.int16()), ("g", pa.int64()), ("s", pa.int64()), ("sure", pa.bool_())])
-_FOUND_DDL = "id long, fp long, lo long, cnt int, at short, g long, s long, sure boolean"
+_FOUND = pa.schema([*_ROW, ("at", pa.int16()), ("g", pa.int64()), ("s", pa.int64()), ("sides", pa.int64()), ("sure", pa.bool_())])
+_FOUND_DDL = "id long, fp long, lo long, cnt int, at short, g long, s long, sides long, sure boolean"
 
 
 def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
@@ -111,11 +122,11 @@ def _stretch_rows(length: int, gram: int):
                 parts.append((np.full(n, ids[k]), np.full(n, fps[k]), *found))
             if not parts:
                 continue
-            row, fp, lo, cnt, at, g, s = (np.concatenate(c) for c in zip(*parts, strict=True))
+            row, fp, lo, cnt, at, g, s, sides = (np.concatenate(c) for c in zip(*parts, strict=True))
             order = np.argsort(s, kind="stable")
             again = np.zeros(len(s), bool)
             again[order[1:]] = s[order[1:]] == s[order[:-1]]
-            yield _batch(_FOUND, *(c[~again] for c in (row, fp, lo, cnt, at, g.view(np.int64), s.view(np.int64), again)))
+            yield _batch(_FOUND, *(c[~again] for c in (row, fp, lo, cnt, at, g.view(np.int64), s.view(np.int64), sides.view(np.int64), again)))
             row, fp, lo, cnt, g = (c[again] for c in (row, fp, lo, cnt, g))
             if len(row):
                 new = np.ones(len(row), bool)
@@ -123,80 +134,102 @@ def _stretch_rows(length: int, gram: int):
                 first = np.flatnonzero(new)
                 runs = np.add.reduceat(cnt, first)
                 spread = mixed(g[first]).view(np.int64)
-                yield _batch(_FOUND, row[first], fp[first], lo[first], runs, np.zeros(len(first)), spread, lo[first], np.ones(len(first), bool))
+                none = np.zeros(len(first), np.int64)
+                yield _batch(_FOUND, row[first], fp[first], lo[first], runs, none, spread, lo[first], none, np.ones(len(first), bool))
 
     return batches
 
 
-_SORTED = pa.schema([*_ROW, ("at", pa.int16()), ("g", pa.int64()), ("head", pa.bool_())])
+_SORTED = pa.schema([*_ROW, ("at", pa.int16()), ("g", pa.int64()), ("sides", pa.int64()), ("head", pa.bool_())])
+_SORTED_DDL = "id long, fp long, lo long, cnt int, at short, g long, sides long, head boolean"
 
 
-def _heads(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _heads(hot: list[int]):
     """Streams rows sorted by (g, s, id, fp, lo): repeats of a stretch, and first stretches whose anchor has others.
 
-    An anchor at either end of the task may go on in the next one, so its stretches count as having others.
+    The stretches of the anchors in ``hot`` lie in several tasks and count as having others.
     """
-    last = None  # the latest row as (g, s, id, fp, lo)
-    held = None  # the latest first stretch, as a row, and whether its anchor has others before it
-    for batch in stream:
-        columns = {c: batch[c].to_numpy(zero_copy_only=False) for c in batch.schema.names}
-        sure = columns["sure"].astype(bool)
-        if sure.any():
-            yield _batch(_SORTED, *(columns[c][sure] for c in ("id", "fp", "lo", "cnt", "at", "g")), np.zeros(sure.sum(), bool))
-        rows = {c: v[~sure] for c, v in columns.items()}
-        n = len(rows["g"])
-        if not n:
-            continue
-        keys = [np.concatenate([[x], rows[c]]) for c, x in zip(("g", "s", "id", "fp", "lo"), last or (0,) * 5, strict=True)]
-        same = [k[1:] == k[:-1] for k in keys]
-        if last is None:
-            same = [np.concatenate([[False], x[1:]]) for x in same]
-        head = ~(same[0] & same[1])
-        repeat = ~head & ~(same[2] & same[3] & same[4])
-        last = tuple(int(k[-1]) for k in keys)
-        if repeat.any():
-            yield _batch(_SORTED, *(rows[c][repeat] for c in ("id", "fp", "lo", "cnt", "at", "g")), np.zeros(repeat.sum(), bool))
-        firsts = [tuple(int(rows[c][k]) for c in ("id", "fp", "lo", "cnt", "at", "g")) for k in np.flatnonzero(head)]
-        out = []
-        for row in firsts:
-            others = held is None or held[0][5] == row[5]
-            if held and (held[1] or others):
-                out.append(held[0])
-            held = row, others
-        if out:
-            yield _batch(_SORTED, *zip(*out, strict=True), [True] * len(out))
-    if held:
-        yield _batch(_SORTED, *([x] for x in held[0]), [True])
-
-
-_CONTEXT = pa.schema([("key", pa.int64()), *_ROW, ("at", pa.int16()), ("ctx", pa.binary())])
-_CONTEXT_DDL = "key long, id long, fp long, lo long, cnt int, at short, ctx binary"
-
-
-def _contexts(length: int, gram: int):
-    """The bytes of each first stretch, its strings told apart by the side on which they reach further.
+    common = np.array(sorted(hot), np.int64)
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("id", "fp", "lo", "cnt", "at", "g", "sides")
+        last = None  # the latest row as (g, s, id, fp, lo)
+        held = {c: np.empty(0, np.int64) for c in names}  # the latest first stretch, of which it is not yet known whether it has others
+        before = False  # whether its anchor has others before it
+        for batch in stream:
+            columns = {c: batch[c].to_numpy(zero_copy_only=False) for c in batch.schema.names}
+            sure = columns["sure"].astype(bool)
+            if sure.any():
+                yield _batch(_SORTED, *(columns[c][sure] for c in names), np.zeros(sure.sum(), bool))
+            rows = {c: v[~sure] for c, v in columns.items()}
+            n = len(rows["g"])
+            if not n:
+                continue
+            keys = [np.concatenate([[x], rows[c]]) for c, x in zip(("g", "s", "id", "fp", "lo"), last or (0,) * 5, strict=True)]
+            same = [k[1:] == k[:-1] for k in keys]
+            if last is None:
+                same = [np.concatenate([[False], x[1:]]) for x in same]
+            head = ~(same[0] & same[1])
+            repeat = ~head & ~(same[2] & same[3] & same[4])
+            last = tuple(int(k[-1]) for k in keys)
+            if repeat.any():
+                yield _batch(_SORTED, *(rows[c][repeat] for c in names), np.zeros(repeat.sum(), bool))
+            if not head.any():
+                continue
+            held = {c: np.concatenate([held[c], rows[c][head]]) for c in names}
+            alike = held["g"][1:] == held["g"][:-1]
+            others = (np.concatenate([[before], alike[:-1]]) | alike | np.isin(held["g"][:-1], common)) if len(alike) else alike
+            if others.any():
+                yield _batch(_SORTED, *(held[c][:-1][others] for c in names), np.ones(others.sum(), bool))
+            before = bool(alike[-1]) if len(alike) else before
+            held = {c: v[-1:] for c, v in held.items()}
+        if len(held["g"]) and (before or np.isin(held["g"][0], common)):
+            yield _batch(_SORTED, *(held[c] for c in names), [True])
+
+    return batches
+
+
+_CONTEXT = pa.schema([("key", pa.int64()), *_ROW, ("at", pa.int16()), ("large", pa.bool_()), ("ctx", pa.binary())])
+_CONTEXT_DDL = "key long, id long, fp long, lo long, cnt int, at short, large boolean, ctx binary"
+
+
+def _parted(heads: DataFrame, length: int, gram: int) -> DataFrame:
+    """(key, id, fp, lo, cnt, at): the strings of first stretches, told apart by the side on which they reach further.
 
     A string of ``length`` bytes holds at least ``half`` bytes before its anchor or after
     it; equal strings agree in which and in those bytes, so these join the anchor in the key.
     """
-    half = (length - gram + 1) // 2
+    half = reach(length, gram)
+    anchor, end = F.col("lo") + F.col("at"), F.col("lo") + F.col("cnt")
+    middle = F.least(F.greatest(anchor - (half - 1), F.col("lo")), end)
+
+    def part(side: int, bits, lo, hi):
+        key = F.xxhash64("g", F.lit(side), bits)
+        return F.struct(key.alias("key"), lo.alias("lo"), (hi - lo).cast("int").alias("cnt"), (anchor - lo).cast("short").alias("at"))
+
+    left = part(0, F.shiftrightunsigned("sides", 32), F.col("lo"), middle)
+    right = part(1, F.col("sides").bitwiseAND(0xFFFFFFFF), middle, end)
+    parts = heads.select("id", "fp", F.explode(F.filter(F.array(left, right), lambda p: p["cnt"] > 0)).alias("p"))
+    return parts.select("p.key", "id", "fp", "p.lo", "p.cnt", "p.at")
+
+
+def _contexts(length: int):
+    """The bytes of the given parts of stretches."""
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             out: list[tuple] = []
+            held = 0
             for k in range(batch.num_rows):
                 text = batch["text"][k].as_py().encode()
                 row, fp = batch["id"][k].as_py(), batch["fp"][k].as_py()
-                hashes = PrefixHashes(np.frombuffer(text, np.uint8))
-                for h in batch["heads"][k].as_py():
-                    anchor, end = h["lo"] + h["at"], h["lo"] + h["cnt"]
-                    middle = min(max(anchor - half + 1, h["lo"]), end)
-                    for lo, hi, start, stop in ((h["lo"], middle, anchor - half, anchor + gram), (middle, end, anchor, anchor + gram + half)):
-                        if lo < hi:
-                            key = mixed(np.atleast_1d(hashes.of(start, stop)) + np.uint64(start == anchor)).view(np.int64)[0]
-                            out.append((int(key), row, fp, lo, hi - lo, anchor - lo, text[lo : hi + length - 1]))
-            if out:
-                yield _batch(_CONTEXT, *zip(*out, strict=True))
+                for p in batch["parts"][k].as_py():
+                    lo, cnt = p["lo"], p["cnt"]
+                    out.append((p["key"], row, fp, lo, cnt, p["at"], p["large"], text[lo : lo + cnt + length - 1]))
+                    held += cnt + length
+                if out and (held > 1 << 24 or k == batch.num_rows - 1):
+                    yield _batch(_CONTEXT, *zip(*out, strict=True))
+                    out, held = [], 0
 
     return batches
 
@@ -206,9 +239,9 @@ class Suffixes:
 
     def __init__(self, rows: list[tuple], length: int, seed: int = 0):
         self.rows, self.length = rows, length
-        self.text = b"".join(r[6] for r in rows)
+        self.text = b"".join(r[-1] for r in rows)
         self.data = np.frombuffer(self.text, np.uint8)
-        self.begin = np.cumsum([0, *(len(r[6]) for r in rows)])
+        self.begin = np.cumsum([0, *(len(r[-1]) for r in rows)])
         self.at = np.array([r[5] for r in rows])
         self.anchor = self.begin[:-1] + self.at
         self.end = self.begin[1:]
@@ -354,6 +387,17 @@ def _applied(length: int):
     return batches
 
 
+def _common_anchors(narrow: DataFrame, length: int, gram: int, share: int = 64, most: int = 1000) -> list[int]:
+    """Anchors that hold over one in ``most`` of the stretches of every ``share``-th document, at most ``most`` of them.
+
+    They decide how rows are dealt and nothing else.
+    """
+    sample = narrow.where(F.xxhash64(F.lit(5), "id") % share == 0).mapInArrow(_stretch_rows(length, gram), _FOUND_DDL).where("not sure")
+    counts = settle(sample.groupBy("g").count(), "anchor-sample")
+    least = (counts.agg(F.sum("count")).first()[0] or 0) / most
+    return [r.g for r in counts.where(F.col("count") > max(share, least)).orderBy(F.desc("count"), "g").limit(most).collect()]
+
+
 def dedup_bytes(docs: DataFrame, columns: list[str] | None = None, length: int = LENGTH, gram: int = GRAM, rows_at_once: int = 20_000, group_rows: int = 5_000) -> DataFrame:
     """Remove every byte covered by a string of ``length`` bytes that also starts earlier.
 
@@ -362,7 +406,8 @@ def dedup_bytes(docs: DataFrame, columns: list[str] | None = None, length: int =
     row, or its ``columns``), n_bytes, n_removed, n_spans and ``kept``, the remaining bytes.
 
     Shuffled are one row per stretch, some 3 for 100 bytes (a stretch that fills a third of
-    the corpus sends one row per batch; the range shuffle splits an anchor that does), and
+    the corpus sends one row per batch; an anchor that a sample of documents shows to be
+    common is dealt by the hashes of its stretches, over all tasks), and
     the bytes of stretches whose anchor occurs in several contexts. The latter are sorted
     inside groups that agree in 66 bytes. A group of up to ``group_rows`` is held by one
     task; a larger one is exchanged for its strings, one row each, and is spread.
@@ -374,26 +419,24 @@ def dedup_bytes(docs: DataFrame, columns: list[str] | None = None, length: int =
     documents = documents_of(docs).withColumn("id", F.coalesce("id", F.lit(NO_ID)).cast("long"))
     narrow = documents.select("id", "fp", "text")
     found = narrow.mapInArrow(_stretch_rows(length, gram), _FOUND_DDL)
-    ranged = found.repartitionByRange("g", "s").sortWithinPartitions("g", "s", "id", "fp", "lo")
-    met = settle(ranged.mapInArrow(_heads, "id long, fp long, lo long, cnt int, at short, g long, head boolean"), "stretches")
-    heads = met.where("head")
-    # a group's rows come from different stretches of one anchor, so only common anchors can have a large one
-    common = settle(heads.groupBy("g").count().where(F.col("count") > group_rows).select("g"), "common-anchors")
-    several = not common.isEmpty()
-
-    def contexts(some: DataFrame) -> DataFrame:
-        places = some.groupBy("id", "fp").agg(F.collect_list(F.struct("lo", "cnt", "at")).alias("heads"))
-        return narrow.join(places, ["id", "fp"]).mapInArrow(_contexts(length, gram), _CONTEXT_DDL)
-
-    held = contexts(heads.join(common, "g", "left_anti") if several else heads)
+    hot = _common_anchors(narrow, length, gram)
+    # an anchor's stretches meet in one task, those of a common one are dealt by their own hash
+    dealt = found.repartition("g", F.when(F.col("g").isin(hot), F.col("s")).otherwise(0)) if hot else found.repartition("g")
+    ordered = dealt.sortWithinPartitions("g", "s", "id", "fp", "lo")
+    met = settle(ordered.mapInArrow(_heads(hot), _SORTED_DDL), "stretches")
+    parts = _parted(met.where("head"), length, gram)
+    # a key of its own: a join on the grouping's key would run in the grouping's tasks, where a large group can't be split
+    sizes = parts.groupBy("key").count().where("count > 1").select(F.bitwise_not("key").alias("other"), (F.col("count") > group_rows).alias("large"))
+    parts = settle(parts.withColumn("other", F.bitwise_not("key")).join(sizes, "other").drop("other"), "parts")
+    several = not parts.where("large").isEmpty()
+    places = parts.groupBy("id", "fp").agg(F.collect_list(F.struct("key", "lo", "cnt", "at", "large")).alias("parts"))
+    contexts = narrow.join(places, ["id", "fp"]).mapInArrow(_contexts(length), _CONTEXT_DDL)
     if several:
-        apart = settle(contexts(heads.join(common, "g", "left_semi")), "common-contexts")
-        large = settle(apart.groupBy("key").count().where(F.col("count") > group_rows).select("key"), "large-groups")
-        held = held.unionByName(apart.join(large, "key", "left_anti").select(*held.columns))
-    grouped = held.repartition("key").sortWithinPartitions("key", "id", "fp", "lo")
+        contexts = settle(contexts, "contexts")
+    grouped = contexts.where("not large").repartition("key").sortWithinPartitions("key", "id", "fp", "lo")
     later = grouped.mapInArrow(_sorted_suffixes(length, rows_at_once), "id long, fp long, lo long, cnt int")
     if several:
-        later = later.unionByName(_later_strings(apart.join(large, "key", "left_semi"), length))
+        later = later.unionByName(_later_strings(contexts.where("large"), length))
     spans = met.where("not head").select("id", "fp", "lo", "cnt").unionByName(later).groupBy("id", "fp")
     spans = spans.agg(F.collect_list(F.struct("lo", "cnt")).alias("spans"))
     kept = documents.select(F.struct(*[F.col("doc")[c].alias(c) for c in columns or docs.columns]).alias("doc"), "id", "fp", "text")

@@ -61,3 +61,11 @@ def test_large_groups_equal_brute_force(spark, monkeypatch, group_rows):
     got = suffix_dedup.dedup_bytes(docs, ["doc_id"], group_rows=group_rows).select("doc.doc_id", "n_removed", F.sha2("kept", 256)).collect()
     assert {x[0]: tuple(x)[1:] for x in got} == brute(rows)
     assert (sizes.value > 0) == (group_rows > 300)
+
+
+def test_a_group_beyond_the_size_of_a_task(spark):
+    """6,000 documents around one passage: groups of more rows than ``group_rows`` allows by default."""
+    rows = passages(6_000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = suffix_dedup.dedup_bytes(docs, ["doc_id"]).select("doc.doc_id", "n_removed", F.sha2("kept", 256)).collect()
+    assert {x[0]: tuple(x)[1:] for x in got} == brute(rows)
