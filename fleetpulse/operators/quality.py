@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from fleetpulse.functions.numeric import round_half_up
 from fleetpulse.operators.fleet import drive_rollup, overview, overview_of_rollup
@@ -114,6 +114,18 @@ def describe_columns(df: DataFrame) -> DataFrame:
     )
 
 
+def catalog_tables(spark: SparkSession, pattern: str = "*") -> DataFrame:
+    """Tables and views of the current schema and of the session, by the session's catalog."""
+    listed = spark.sql(f"SHOW TABLES LIKE '{pattern}'")
+    return listed.select(F.col("tableName").alias("table_name"), F.col("isTemporary").alias("is_temporary"))
+
+
+def catalog_columns(spark: SparkSession, names: list[str]) -> DataFrame:
+    """``describe_columns`` of the named tables and views, with their names; no row of them is read."""
+    parts = [describe_columns(spark.table(n)).select(F.lit(n).alias("table_name"), "*") for n in names]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def daily_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("date").agg(
         F.count("*").alias("record_count"), F.countDistinct("serial_number").alias("drive_count")

@@ -1,5 +1,7 @@
 """Load of CSV drops into the stored snapshot table, all at once or file by file."""
 
+import hashlib
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -8,22 +10,24 @@ from fleetpulse.operators.keys import few_repeated_keys, one_row_per_key, surplu
 from fleetpulse.schema import SNAPSHOT, SNAPSHOT_KEY
 from fleetpulse.session import settle
 from fleetpulse.sources.csv_drops import FILE, REASON, accepted, load_audit, read_drops, rejected
-from fleetpulse.sources.snapshot_store import (
-    append_snapshots, not_yet_stored, replace_snapshots, same_quarters, stored_snapshots,
-)
-from fleetpulse.streaming.drops import drop_stream
+from fleetpulse.sources.snapshot_store import BucketedStore, around
+from fleetpulse.sources.tables import bucket_count
+from fleetpulse.streaming.drops import each_new_drop
 
 ORDER = [c for c in SNAPSHOT.fieldNames() if c not in SNAPSHOT_KEY]
 
 
-def store(parsed: DataFrame, table: str, quarantine: str) -> None:
-    """Append parsed snapshots to the table, each key once.
+def store(parsed: DataFrame, table: str, quarantine: str, batch: str, buckets: int) -> None:
+    """Add parsed snapshots to the table, each key once, as the load ``batch``.
 
     Of the rows of a key the least in ``ORDER`` stays, whichever load brings it: it takes the
     place of a stored row that comes after it. Rows without a usable key, surplus rows of a
     key, replaced rows, and rows whose key the table already holds go to ``quarantine`` with
-    a reason. Only the quarters the rows lie in are looked up.
+    a reason. Table and quarantine keep the rows of a load apart by its name, so a load that
+    broke off is repeated under its name and leaves both as if it had run once.
     """
+    new = not BucketedStore.exists(parsed.sparkSession, table)
+    target = BucketedStore(parsed.sparkSession, table, buckets)
     usable = accepted(parsed)
     repeated = few_repeated_keys(usable, SNAPSHOT_KEY)
     once = F.lit(1).cast("long")
@@ -32,10 +36,10 @@ def store(parsed: DataFrame, table: str, quarantine: str) -> None:
         .unionByName(surplus_rows(usable, SNAPSHOT_KEY, ORDER, repeated).withColumn(REASON, F.lit("repeated key")))
     )
     unique = one_row_per_key(usable, SNAPSHOT_KEY, ORDER, repeated)
-    stored = stored_snapshots(parsed.sparkSession, table)
-    if stored is not None:
-        stored = same_quarters(stored, usable)
-        held = stored.select(*SNAPSHOT_KEY, F.struct(*ORDER).alias("_held"))
+    better = None
+    if not new:
+        stored = around(target.rows(but=batch), usable)
+        held = stored.select(*SNAPSHOT_KEY, F.struct(*ORDER).alias("_held"), F.col("batch").alias("gone_batch"))
         met = settle(unique.join(held, SNAPSHOT_KEY), "met-keys")
         before = F.struct(*ORDER) < F.col("_held")
         known = met.where(~before).select(*unique.columns).withColumn("copies", once)
@@ -43,50 +47,49 @@ def store(parsed: DataFrame, table: str, quarantine: str) -> None:
         better = met.where(before)
         replaced = better.select(*SNAPSHOT_KEY, "_held.*").withColumn("copies", once)
         out = out.unionByName(replaced.withColumn(REASON, F.lit("repeated key")))
-        unique = not_yet_stored(unique, stored)
-    # Two independent jobs over the same stored rows; the small one need not wait.
-    with ThreadPoolExecutor(2) as pool:
+        unique = unique.join(met.where(~before).select(*SNAPSHOT_KEY), SNAPSHOT_KEY, "left_anti")
+    # Independent jobs over the same stored rows; the small ones need not wait.
+    with ThreadPoolExecutor(3) as pool:
         jobs = [
-            pool.submit(out.write.mode("append").parquet, quarantine),
-            pool.submit(append_snapshots, unique.select(*SNAPSHOT.fieldNames()), table),
+            pool.submit(out.write.mode("overwrite").parquet, f"{quarantine}/batch={batch}"),
+            pool.submit(target.write, unique, batch),
         ]
+        if better is not None and not better.isEmpty():
+            jobs.append(pool.submit(target.supersede, better.select(*SNAPSHOT_KEY, "gone_batch"), batch))
         for job in jobs:
             job.result()
-    if stored is not None and not better.isEmpty():
-        replace_snapshots(better, table)
 
 
 def load_drops(
-    spark: SparkSession, raw_path: str, table: str, quarantine: str, per: str = "file"
+    spark: SparkSession, raw_path: str, table: str, quarantine: str, per: str = "file",
+    batch: str | None = None, buckets: int | None = None,
 ) -> DataFrame:
     """Load every CSV under ``raw_path``; return rows read and rejected per file.
 
-    The text is parsed once, into the shared folder.
+    The text is parsed once, into the shared folder. ``batch`` names the load: one that is
+    repeated under the same name replaces what it wrote before. ``buckets`` is the number for
+    a new table, by default one per core, more as the files grow.
     """
     parsed = settle(read_drops(spark, raw_path, per), "parsed-drops")
-    store(parsed, table, quarantine)
+    store(parsed, table, quarantine, batch or f"load-{uuid.uuid4().hex}", buckets or bucket_count(spark, raw_path))
     return load_audit(parsed)
 
 
 def load_new_drops(
-    spark: SparkSession, raw_path: str, table: str, quarantine: str, state: str, header: list[str],
-    files_per_batch: int = 1000,
+    spark: SparkSession, raw_path: str, table: str, quarantine: str, state: str, header: list[str] | None = None,
+    files_per_batch: int = 1000, buckets: int | None = None,
 ) -> None:
-    """Load the files that share ``header`` and were not seen before, then stop.
+    """Load the files that were not seen before, then stop.
 
+    Each file is read by its own header, so ``header`` is no longer needed.
     ``files_per_batch`` has no part in which rows are stored. ``state`` keeps the list of
-    files taken in. A batch that is repeated after a failure finds its keys stored and adds
-    nothing to the table twice.
+    files taken in, and the number of a batch names its load: one that is repeated after a
+    failure changes neither the table nor the quarantine.
     """
+    source = hashlib.md5(state.rstrip("/").encode()).hexdigest()[:12]
+    buckets = buckets or bucket_count(spark, raw_path)
 
-    def batch(parsed: DataFrame, _: int) -> None:
-        store(settle(parsed, "parsed-batch"), table, quarantine)
+    def work(parsed: DataFrame, number: int) -> None:
+        store(settle(parsed, "parsed-batch"), table, quarantine, f"stream-{source}-{number}", buckets)
 
-    query = (
-        drop_stream(spark, raw_path, header, files_per_batch)
-        .writeStream.foreachBatch(batch)
-        .option("checkpointLocation", state)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    each_new_drop(spark, raw_path, state, work, files_per_batch)

@@ -1,17 +1,16 @@
 """Daily CSV drops: discovery, reading by header, normalization."""
 
-import os
-from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from fleetpulse.schema import RAW_ATTRIBUTES, SNAPSHOT
+from fleetpulse.session import settle
 
 FILE = "source_file"
 REASON = "reject_reason"
-HEADER_READERS = 16
+FOREIGN = "foreign header"
+NEEDED = ["date", "serial_number"]
 
 
 def _listed(spark: SparkSession, path: str) -> DataFrame:
@@ -29,31 +28,69 @@ def find_csv_files(spark: SparkSession, path: str) -> DataFrame:
     return _listed(spark, path).orderBy("path")
 
 
-def header_groups(
-    spark: SparkSession, files: list[str], per: str = "file"
-) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their header, since the set of columns varies between drops.
+def _with_places(lines: DataFrame) -> DataFrame:
+    return lines.select(
+        "value", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("block")
+    )
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, source_file, block): the lines of every CSV file under ``path``."""
+    reader = spark.read.format("text").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    return _with_places(reader.load(path))
+
+
+def stream_lines(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
+    """``read_lines`` as a stream of new files; a file is never cut between two batches."""
+    reader = spark.readStream.format("text").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    return _with_places(reader.option("maxFilesPerTrigger", files_per_batch).load(path))
 
-    One header line is read per file, or with ``per='directory'`` one per directory,
-    whose other files must then share it (Spark checks that while reading them).
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """(source_file, header): the first line of each file that is not blank, for all files in one job.
+
+    Each task finds the first line of what it reads of a file, so one row per file and task
+    is shuffled and nothing is listed on the driver. Files without such a line do not appear.
+    """
+    at = F.struct("block", F.monotonically_increasing_id())
+    placed = lines.select(FILE, "value", at.alias("at")).where(F.trim("value") != "")
+    return placed.groupBy(FILE).agg(F.min_by("value", "at").alias("header"))
+
+
+def _columns_of(headers: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Adds ``places``: where each snapshot column stands in the header, from 1, or 0; and names of the widest file's cells."""
+    commas = F.length("header") - F.length(F.translate("header", ",", ""))
+    width = (headers.agg(F.max(commas)).first()[0] or 0) + 1
+    cells = [f"c{k}" for k in range(width)]
+    names = F.from_csv("header", ", ".join(f"{c} string" for c in cells))
+    headers = headers.select("*", names.alias("names"))
+    held = F.array(*[F.col(f"names.{c}") for c in cells])
+    places = [F.array_position(held, name).cast("int").alias(name) for name in SNAPSHOT.fieldNames()]
+    return headers.select(FILE, "header", F.struct(*places).alias("places")), cells
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Lines of files with headers of their own as normalized snapshots, with file name and reject reason.
+
+    Files are grouped by nothing: each line is read by the places that its own file's header
+    gives to the snapshot columns, in one pass for any number of headers. A line equal to its
+    file's header is a header, wherever it stands. All lines of a file whose header lacks
+    the date or the serial number are rejected as of a foreign header.
     """
-    leaders = defaultdict(list)
-    for f in files:
-        leaders[f if per == "file" else os.path.dirname(f)].append(f)
-    groups = [sorted(g) for g in leaders.values()]
+    headers, cells = _columns_of(settle(file_headers(lines), "headers"))
+    rows = lines.join(headers, FILE).where((F.trim("value") != "") & (F.col("value") != F.col("header")))
+    parsed = F.from_csv("value", ", ".join(f"{c} string" for c in cells))
+    rows = rows.select(FILE, "places", parsed.alias("cells"))
+    rows = rows.select(FILE, "places", F.array(*[F.col(f"cells.{c}") for c in cells]).alias("cells"))
+
+    def text(name: str) -> Column:
+        return F.get("cells", F.col(f"places.{name}") - 1)
 
-    def header(group: list[str]) -> tuple[str, ...]:
-        # a blank file has no header and says nothing of its directory
-        heads = (tuple(spark.read.option("header", True).csv(f).columns) for f in group)
-        return next(filter(None, heads), ())
+    def has(name: str) -> Column:
+        return F.col(f"places.{name}") > 0
 
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        headers = list(pool.map(header, groups))
-    out = defaultdict(list)
-    for names, group in zip(headers, groups):
-        if names:  # all files of the others are blank
-            out[names] += group
-    return dict(out)
+    foreign = ~(has(NEEDED[0]) & has(NEEDED[1]))
+    return _snapshots(rows, text, has, foreign)
 
 
 def text_schema(names: tuple[str, ...] | list[str]) -> T.StructType:
@@ -65,50 +102,54 @@ def _whole_number(value: Column) -> Column:
     return F.coalesce(value.try_cast("bigint"), value.try_cast("double").try_cast("bigint"))
 
 
-def normalize(raw: DataFrame) -> DataFrame:
-    """Project text columns to the typed snapshot, plus ``reject_reason`` for unusable rows.
-
-    Attributes the drop does not have become NULL, an unreadable number becomes NULL,
-    an unknown or out of range failure flag 0, an absent model column the empty text. A row
-    without a date that is readable as a whole or without a serial number is marked for rejection.
-    """
-
-    def text(name: str) -> Column:
-        return F.col(name) if name in raw.columns else F.lit(None).cast("string")
-
+def _snapshots(raw: DataFrame, text: Callable[[str], Column], has: Callable[[str], Column], foreign: Column) -> DataFrame:
     date = text("date").try_cast("timestamp_ntz").try_cast("date")
     columns = {
         "date": date,
         "serial_number": text("serial_number"),
-        "model": F.col("model") if "model" in raw.columns else F.lit(""),
+        "model": F.when(has("model"), text("model")).otherwise(F.lit("")),
         "capacity_bytes": _whole_number(text("capacity_bytes")),
         "failure": F.coalesce(_whole_number(text("failure")).try_cast("int"), F.lit(0)),
     }
     columns |= {a: _whole_number(text(a)) for a in RAW_ATTRIBUTES}
-    reason = F.when(date.isNull(), "unreadable date").when(
-        text("serial_number").isNull(), "no serial number"
+    reason = (
+        F.when(foreign, FOREIGN)
+        .when(date.isNull(), "unreadable date")
+        .when(text("serial_number").isNull(), "no serial number")
     )
     kept = [FILE] if FILE in raw.columns else []
     return raw.select(*[c.alias(n) for n, c in columns.items()], reason.alias(REASON), *kept)
 
 
+def normalize(raw: DataFrame) -> DataFrame:
+    """Project text columns to the typed snapshot, plus ``reject_reason`` for unusable rows.
+
+    Attributes the drop does not have become NULL, an unreadable number becomes NULL,
+    an unknown or out of range failure flag 0, an absent model column the empty text. A row
+    without a date that is readable as a whole or without a serial number is marked for rejection.
+    """
+
+    def text(name: str) -> Column:
+        return F.col(name) if name in raw.columns else F.lit(None).cast("string")
+
+    return _snapshots(raw, text, lambda name: F.lit(name in raw.columns), F.lit(False))
+
+
 def read_drops(spark: SparkSession, path: str, per: str = "file") -> DataFrame:
-    """Every CSV under ``path`` as normalized snapshots, with file name and reject reason."""
-    files = sorted(r.path for r in _listed(spark, path).collect())
-    groups = header_groups(spark, files, per)
-    if not groups:
+    """Every CSV under ``path`` as normalized snapshots, with file name and reject reason.
+
+    Each file is read by its own header; ``per`` ("file" or "directory") once saved headers
+    from being read and makes no difference any more.
+    """
+    lines = read_lines(spark, path)
+    if lines.where(F.trim("value") != "").isEmpty():
         raise FileNotFoundError(f"no CSV files with a header under {path}")
-    parts = []
-    for names, group in groups.items():
-        raw = (
-            spark.read.schema(text_schema(names))
-            .option("header", True)
-            .option("enforceSchema", False)
-            .csv(group)
-            .withColumn(FILE, F.col("_metadata.file_path"))
-        )
-        parts.append(normalize(raw))
-    return reduce(DataFrame.unionByName, parts)
+    return parse_lines(lines)
+
+
+def blank_files(spark: SparkSession, path: str) -> DataFrame:
+    """CSV files under ``path`` with nothing but blank lines. Files without a byte are left out: Spark reads none."""
+    return _listed(spark, path).select(F.col("path").alias(FILE)).join(file_headers(read_lines(spark, path)), FILE, "left_anti")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

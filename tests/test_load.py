@@ -2,6 +2,7 @@ from datetime import date
 
 import pytest
 
+from fleetpulse.operators import features
 from fleetpulse.plans.load import load_drops, load_new_drops
 from fleetpulse.schema import RAW_ATTRIBUTES, SNAPSHOT
 from fleetpulse.sources import csv_drops, snapshot_store
@@ -125,3 +126,94 @@ def test_new_files_are_taken_once(spark, tmp_path):
     assert [(r.quarter, r.failure, r.smart_9_raw) for r in rows] == [("2025q1", 0, 3), ("2025q2", 1, None)]
     refused = {(r.reject_reason, r.smart_9_raw) for r in spark.read.parquet(where[1]).collect()}
     assert refused == {("unreadable date", 3), ("key already stored", 9)}
+
+
+def test_thousands_of_files_with_three_headers(spark, tmp_path):
+    """All headers in one job: nothing runs per file on the driver."""
+    raw = tmp_path / "many"
+    raw.mkdir()
+    heads = ["date,serial_number,model,failure,smart_9_raw", "serial_number,date,smart_9_raw", 'smart_9_raw,"date",serial_number,failure,extra,model']
+    lines = ["2025-01-01,S{0},M,1,{0}", "S{0},2025-01-01,{0}", '{0},2025-01-01,"S{0}",0,"a, b",N']
+    for k in range(5000):
+        (raw / f"{k}.csv").write_text(f"{heads[k % 3]}\n{lines[k % 3].format(k)}\n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("many", "many")
+    rows = csv_drops.accepted(csv_drops.read_drops(spark, str(raw))).collect()
+    jobs = len(tracker.getJobIdsForGroup("many"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 12
+    assert sorted(r.smart_9_raw for r in rows) == list(range(5000))
+    for r in rows:
+        k = r.smart_9_raw
+        assert r.serial_number == f"S{k}" and (r.model, r.failure) == [("M", 1), ("", 0), ("N", 0)][k % 3]
+
+
+def test_stream_of_mixed_good_and_bad_files(spark, tmp_path):
+    raw = tmp_path / "drops"
+    raw.mkdir()
+    (raw / "a.csv").write_text(HEADER + "\n2025-01-01,A,M,1,0,1,2,3\n" + HEADER + "\n2025-01-02,A,M,1,0,1,2")
+    (raw / "b.csv").write_text("serial_number,smart_9_raw,date\nB,9,2025-01-01\nB,7,2025-0")  # torn
+    (raw / "c.csv").write_text("day,drive\n2025-01-01,C\n2025-01-02,C\n")
+    (raw / "d.csv").write_text("")
+    (raw / "e.csv").write_text("\n \n")
+    where = [str(tmp_path / n) for n in ("table", "refused", "state")]
+    load_new_drops(spark, str(raw), *where, files_per_batch=2)
+    rows = snapshot_store.read_snapshots(spark, where[0]).orderBy("serial_number", "date").collect()
+    assert [(r.serial_number, str(r.date), r.smart_9_raw) for r in rows] == [("A", "2025-01-01", 3), ("A", "2025-01-02", None), ("B", "2025-01-01", 9)]
+    refused = sorted(r.reject_reason for r in spark.read.parquet(where[1]).collect())
+    assert refused == ["foreign header", "foreign header", "unreadable date"]
+    blank = [r.source_file.rsplit("/", 1)[1] for r in csv_drops.blank_files(spark, str(raw)).collect()]
+    assert blank == ["e.csv"]
+
+
+def test_a_repeated_load_changes_neither_side(spark, tmp_path):
+    raw = tmp_path / "drops"
+    raw.mkdir()
+    head = "date,serial_number,smart_5_raw\n"
+    (raw / "a.csv").write_text(head + "2025-01-01,A,5\n2025-04-01,B,5\n2025-01-01,A,6\nbad,C,1\n")
+    more = tmp_path / "more"
+    more.mkdir()
+    (more / "b.csv").write_text(head + "2025-01-01,A,4\n2025-04-01,B,9\n2025-07-01,D,1\n")
+    table, refused = str(tmp_path / "table"), str(tmp_path / "refused")
+
+    def state():
+        rows = sorted(map(tuple, snapshot_store.read_snapshots(spark, table).select("date", "serial_number", "smart_5_raw").collect()))
+        out = spark.read.parquet(refused).select("serial_number", "smart_5_raw", "copies", "reject_reason").collect()
+        return rows, sorted(map(tuple, out))
+
+    load_drops(spark, str(raw), table, refused, batch="one")
+    first = state()
+    load_drops(spark, str(raw), table, refused, batch="one")
+    assert state() == first
+    load_drops(spark, str(more), table, refused, batch="two")
+    both = state()
+    assert [r[1:] for r in both[0]] == [("A", 4), ("B", 5), ("D", 1)]
+    assert both[1] == [("A", 5, 1, "repeated key"), ("A", 6, 1, "repeated key"), ("B", 9, 1, "key already stored"), ("C", 1, 1, "unreadable date")]
+    for batch, path in (("two", more), ("two", more)):
+        load_drops(spark, str(path), table, refused, batch=batch)
+        assert state() == both
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_features_of_a_loaded_table_need_no_shuffle(spark, raw, tmp_path):
+    table = str(tmp_path / "table")
+    load_drops(spark, raw, table, str(tmp_path / "refused"), buckets=4)
+    df = features.rolling_features(snapshot_store.read_snapshots(spark, table))
+    assert "Exchange" not in plan(df) and "Bucketed: true" in plan(df)
+    assert df.count() == 2
+
+
+def test_sql_date_range_reads_its_quarters_only(spark, tmp_path):
+    rows = [{"date": date(2025, m, 15), "serial_number": s} for m in range(1, 13) for s in "AB"]
+    store = snapshot_store.BucketedStore(spark, str(tmp_path / "t"), 3)
+    store.write(snapshots(spark, rows), "one")
+    snapshot_store.register_view(spark, str(tmp_path / "t"), "by_quarter")
+    df = spark.sql("SELECT date, serial_number FROM by_quarter WHERE date BETWEEN DATE '2025-05-01' AND DATE '2025-06-30'")
+    assert sorted(map(tuple, df.collect())) == [(date(2025, m, 15), s) for m in (5, 6) for s in "AB"]
+    assert "dynamicpruningexpression(quarter" in plan(df)
+    nodes = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in nodes
+    assert spark.sql("SELECT COUNT(*) AS n FROM by_quarter").first().n == 24
