@@ -46,3 +46,26 @@ def documents_of(docs: DataFrame) -> DataFrame:
 def hash_pair(key: Column) -> list[Column]:
     """Two independent 64-bit hashes, ``h1`` and ``h2``, that stand for ``key``."""
     return [F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(7), key).alias("h2")]
+
+
+class Remembered(dict):
+    """Answers of ``make``, of which the older half is forgotten beyond ``most`` entries.
+
+    Keys of more than ``longest`` letters are answered, but not kept.
+    """
+
+    def __init__(self, make, most: int, longest: int = 64):
+        super().__init__()
+        self.make, self.half, self.longest, self.older = make, max(1, most // 2), longest, {}
+
+    def __missing__(self, key: str):
+        if len(key) > self.longest:
+            return self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value

@@ -3,6 +3,7 @@
 import heapq
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from fleetpulse.llm.common import documents_of
+from fleetpulse.llm.common import Remembered, documents_of
 
 # The mark that stands for a space, the replacement of a broken byte, and kinds in the model file.
 SPACE, BROKEN = "▁", "�"
@@ -18,29 +19,6 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MERGE_TYPE = 2
 
 
-class Remembered(dict):
-    """Answers of ``make``, of which the older half is forgotten beyond ``most`` entries.
-
-    Keys of more than ``longest`` letters are answered, but not kept.
-    """
-
-    def __init__(self, make, most: int, longest: int = 64):
-        super().__init__()
-        self.make, self.half, self.longest, self.older = make, max(1, most // 2), longest, {}
-
-    def __missing__(self, key: str):
-        if len(key) > self.longest:
-            return self.make(key)
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.half:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
 class PieceModel:
     """A merge-type vocabulary with bytes for unknown letters, read from a model file.
 
@@ -202,10 +180,16 @@ def whole_letters(held: bytes) -> str:
     return "".join(out)
 
 
+@lru_cache(maxsize=1)
+def compiled_model(path: str, remembered: int) -> tuple[PieceModel, Remembered]:
+    """What a worker reads once and uses for all its tasks: no result depends on it."""
+    model = PieceModel(path)
+    return model, Remembered(model.answer, remembered)
+
+
 def _encoded(path: str, remembered: int, chars: int):
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(path)
-        known = Remembered(model.answer, remembered)
+        model, known = compiled_model(path, remembered)
         begin, end = (struct.pack("<I", k) for k in (model.begin, model.end))
 
         def row(text: str) -> tuple[bytes, str]:
@@ -243,7 +227,7 @@ def _kept(docs: DataFrame, columns: list[str] | None) -> DataFrame:
 
 
 def encode_documents(
-    docs: DataFrame, model_path: str, columns: list[str] | None = None, remembered: int = 400_000, chars: int = 1 << 22
+    docs: DataFrame, model_path: str, columns: list[str] | None = None, remembered: int = 1_000_000, chars: int = 1 << 22
 ) -> DataFrame:
     """``doc`` (the input row, or its ``columns``) with ``n_tokens``, ``ids`` and ``decoded`` of its whole text.
 
@@ -252,7 +236,7 @@ def encode_documents(
     library with the same model (``differences`` compares them). A text is cut where no
     piece of the vocabulary holds both neighbours; each stretch is merged by an agenda of
     its adjacent pairs, and ``remembered`` answers of stretches up to 64 letters are kept
-    by a task. No shuffle; a task holds one text with its ids, or ``chars`` letters of
+    by a worker. No shuffle; a task holds one text with its ids, or ``chars`` letters of
     short ones, at a time.
 
     Null and empty texts are the begin and the end id alone and decode to an empty text.

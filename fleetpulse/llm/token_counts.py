@@ -3,12 +3,13 @@
 import json
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fleetpulse.llm.common import documents_of
+from fleetpulse.llm.common import Remembered, documents_of
 
 # Unicode's White_Space, and the letters that follow an apostrophe in a piece.
 SPACES = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -162,11 +163,15 @@ class CountTransducer:
     starts from which the bytes so far are the beginning of some token, each as (place in
     the token trie, token before it, tokens up to there minus tokens up to now). States
     and transitions are compiled when first met and shared by all pieces; beyond
-    ``max_states`` the compiled part is dropped and grows anew.
+    ``max_states`` the compiled part is dropped and grows anew, while the answers stay.
+
+    A piece of more than ``chunk`` bytes is cut into chunks. Each one is run by itself, as a
+    map from entry states to (exit state, tokens); a scan composes the maps (see ``scan``).
     """
 
-    def __init__(self, vocabulary: Vocabulary, max_states: int = 150_000, max_pieces: int = 400_000):
-        self.vocabulary, self.max_states, self.max_pieces = vocabulary, max_states, max_pieces
+    def __init__(self, vocabulary: Vocabulary, max_states: int = 150_000, max_pieces: int = 1_000_000, chunk: int = 256):
+        self.vocabulary, self.max_states, self.chunk = vocabulary, max_states, chunk
+        self.counts = Remembered(self.count, max_pieces)
         self.children: dict[int, int] = {}
         self.token_at: dict[int, int] = {}
         nodes = 1
@@ -188,7 +193,6 @@ class CountTransducer:
         self.known = {start: 0}
         self.steps: dict[int, tuple[int, int]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.counts: dict[str, int] = {}
 
     def follows(self, before: int, token: int) -> bool:
         """Whether the two tokens stay apart when their bytes are merged by the rules."""
@@ -218,30 +222,65 @@ class CountTransducer:
         self.steps[state << 8 | byte] = step = self.known[to], change
         return step
 
-    def count(self, piece: str) -> int:
-        if len(self.states) > self.max_states or len(self.counts) > self.max_pieces:
-            self.forget()
-        state = total = 0
+    def run(self, data: bytes, state: int) -> tuple[int, int]:
+        """(exit state, tokens) of ``data`` from a state."""
+        total = 0
         steps = self.steps
-        for byte in piece.encode():
+        for byte in data:
             step = steps.get(state << 8 | byte)
             if step is None:
                 step = self.compiled(state, byte)
             state = step[0]
             total += step[1]
-        self.counts[piece] = total
-        return total
+        return state, total
+
+    def count(self, piece: str) -> int:
+        if len(self.states) > self.max_states:
+            self.forget()
+        data = piece.encode()
+        if len(data) <= self.chunk:
+            return self.run(data, 0)[1]
+        return self.scan([data[k : k + self.chunk] for k in range(0, len(data), self.chunk)])
+
+    def scan(self, chunks: list[bytes]) -> int:
+        """Tokens of consecutive chunks, from the maps of all of them.
+
+        What a state remembers lies a few tokens back, so a chunk is first run from the state
+        that the last bytes before it lead to from the start. Neighbouring maps are
+        composed pair by pair, in as many rounds as the number of chunks has bits. Where a
+        map lacks the state that its left neighbour leads to, its chunks are run from that
+        state too; the composition is exact whatever was guessed.
+        """
+        guesses = [0, *[self.run(c[-64:], 0)[0] for c in chunks[:-1]]]
+        maps = [({g: self.run(c, g)}, (c,)) for c, g in zip(chunks, guesses, strict=True)]
+        while len(maps) > 1:
+            maps = [self.composed(*maps[k : k + 2]) for k in range(0, len(maps), 2)]
+        return maps[0][0][0][1]
+
+    def composed(self, left: tuple, right: tuple | None = None) -> tuple:
+        if right is None:
+            return left
+        out = {}
+        for entry, (middle, tokens) in left[0].items():
+            if middle not in right[0]:
+                state, more = middle, 0
+                for chunk in right[1]:
+                    state, n = self.run(chunk, state)
+                    more += n
+                right[0][middle] = state, more
+            state, more = right[0][middle]
+            out[entry] = state, tokens + more
+        return out, left[1] + right[1]
 
     def count_all(self, pieces: list[str]) -> np.ndarray:
-        known, count = self.counts, self.count
-        out = np.empty(len(pieces), np.int64)
-        for k, piece in enumerate(pieces):
-            held = known.get(piece)
-            if held is None:
-                held = count(piece)
-                known = self.counts
-            out[k] = held
-        return out
+        return np.fromiter(map(self.counts.__getitem__, pieces), np.int64, len(pieces))
+
+
+@lru_cache(maxsize=1)
+def compiled_parts(path: str) -> tuple[Vocabulary, "Splitter", CountTransducer]:
+    """What a worker compiles once and uses for all its tasks: no result depends on it."""
+    vocabulary = Vocabulary(path)
+    return vocabulary, Splitter(), CountTransducer(vocabulary)
 
 
 def segments(text: str, special: list[str]) -> tuple[list[str], int]:
@@ -256,8 +295,7 @@ def segments(text: str, special: list[str]) -> tuple[list[str], int]:
 
 def _counted(path: str, chars: int):
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path)
-        splitter, transducer = Splitter(), CountTransducer(vocabulary)
+        vocabulary, splitter, transducer = compiled_parts(path)
         for batch in stream:
             texts = batch["text"].to_pylist()
             totals = np.zeros(len(texts), np.int64)
@@ -288,8 +326,9 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, columns: list[str] | Non
     BPE with the splitting rule of its kind), special strings in a text counting as one
     token each. Two transducers are compiled from it: one cuts texts into pieces, with
     chunks of the text as maps between its few states that a prefix scan composes; one
-    counts the tokens of a piece byte by byte. No shuffle; a task holds ``chars``
-    characters of symbols at a time and a bounded part of the second transducer.
+    counts the tokens of a piece byte by byte, long ones by chunks as well. No shuffle; a
+    task holds ``chars`` characters of symbols at a time, and a worker a bounded part of the
+    second transducer and of its answers, over all its tasks.
 
     Null and empty texts have no token. Rows keep their order and number.
     """
