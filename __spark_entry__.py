@@ -15,12 +15,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetpulse.operators import degradation, features, fleet, keys, learning, quality, scoring, survival
+from fleetpulse.operators import degradation, ensembles, features, fleet, keys, learning, quality, scoring, survival
 from fleetpulse.plans import load, reports, training
 from fleetpulse.schema import CONSTANT_SENSORS, FEATURE_COLUMNS, SNAPSHOT, SNAPSHOT_KEY
 from fleetpulse.session import settle, shared_folder
 from fleetpulse.sources import csv_drops, run_to_failure, snapshot_store, tables
-from oracle.queries import ORACLE, SCORER_INTERCEPT, SCORER_WEIGHTS
+from oracle.queries import FIXED_NODES, ORACLE, SCORER_INTERCEPT, SCORER_WEIGHTS
 
 # The training data part may be taken out; anything else that is missing is an error.
 try:
@@ -280,9 +280,47 @@ def _engine_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return degradation.engine_tables(tables.engine(spark, sf_dir), "EVENTS")[0]
 
 
+_compared: dict[tuple[str, str], tuple] = {}
+
+
+def _models(spark: SparkSession, sf_dir: str) -> tuple:
+    """The comparison of the three classifiers and the classifiers, trained once per session and tables."""
+    slot = spark.conf.get("spark.app.id"), os.path.abspath(sf_dir)
+    if slot not in _compared:
+        comparison, models = training.compare_models(_training(tables.smart_daily(spark, sf_dir)))
+        _compared[slot] = settle(comparison, "comparison"), models
+    return _compared[slot]
+
+
 def _comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _training(tables.smart_daily(spark, sf_dir))
-    return rounded(training.compare_models(table)[0])
+    return rounded(_models(spark, sf_dir)[0])
+
+
+def _auc_by_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC on the validation part after each of the boosted model's rounds."""
+    model = _models(spark, sf_dir)[1]["boosted"]
+    validation = _matrix(tables.smart_daily(spark, sf_dir)).where(F.col("split") == "validation")
+    inputs = settle(ensembles.scaled_inputs(model, validation).select("label", "inputs"), "validation-inputs")
+    return rounded(ensembles.auc_by_round(ensembles.ensemble_nodes(model), inputs))
+
+
+def _fixed_ensemble(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        [(t, n, FEATURE_COLUMNS.index(c) if c else ensembles.LEAF, *rest) for t, n, c, *rest in FIXED_NODES], ensembles.NODES
+    )
+
+
+def _raw_inputs(df: DataFrame) -> DataFrame:
+    return _matrix(df).withColumn("inputs", F.array(*FEATURE_COLUMNS))
+
+
+def _fixed_scores(df: DataFrame) -> DataFrame:
+    scored = ensembles.score_from_table(_fixed_ensemble(df.sparkSession), _raw_inputs(df), ensembles.boosted_score)
+    return scored.select(*SNAPSHOT_KEY, "probability")
+
+
+def _fixed_rounds(df: DataFrame) -> DataFrame:
+    return ensembles.auc_by_round(_fixed_ensemble(df.sparkSession), _raw_inputs(df))
 
 
 def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -414,6 +452,7 @@ SURVIVAL: dict[str, Query] = {
     "R5_survival_at_next": lives(lambda df: survival.survival_at(_curve(df), lookup="next")),
     "R6_reliability_at": lives(lambda df: survival.at_horizons(_fits(df))),
     "R11_compare_models": lives(lambda df: survival.compare_failure_rates(df, "LARGE", "STANDARD")),
+    "J6_model_pairs": lives(lambda df: survival.compare_all_models(df, min_drives=1)),
     "R12_failure_counts": lives(survival.failure_counts),
     "R13_alert_value": daily(_score_shift),
     "D23_several_models": daily(quality.drives_with_several_models),
@@ -454,9 +493,19 @@ LEARNING: dict[str, Query] = {
         .groupBy("split", "label")
         .agg(F.count("*").alias("samples"))
     ),
+    "M1_stratified_rows": daily(
+        lambda df: learning.with_stratified_split(features.training_matrix(_training(df)), by="row").select(*SNAPSHOT_KEY, "label", "split")
+    ),
+    "M1_stratified_drives": daily(
+        lambda df: learning.with_stratified_split(features.training_matrix(_training(df))).select("serial_number", "split").distinct()
+    ),
     "M2_scaler": daily(lambda df: learning.scaler_statistics(_matrix(df).where("split = 'train'"))),
     "M3_class_weights": daily(lambda df: learning.class_weights(_matrix(df))),
     "M3_positive_weight": daily(lambda df: learning.positive_weight(_matrix(df))),
+    "M4_auc_by_round": _auc_by_round,
+    "M4_auc_by_round_of_fixed_trees": daily(_fixed_rounds),
+    "M7_scores_of_fixed_trees": daily(_fixed_scores),
+    "M12_split_gains": daily(lambda df: learning.split_gains(_matrix(df))),
     "M8_metrics": daily(lambda df: learning.classification_metrics(_predicted(df))),
     "M9_confusion": daily(lambda df: learning.confusion(_predicted(df))),
     "M10_roc_auc": daily(lambda df: learning.roc_auc(_predicted(df))),

@@ -1,6 +1,7 @@
 """Splitting, scaling, training, evaluation and persistence of failure classifiers."""
 
 import json
+import math
 import os
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -9,10 +10,11 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from fleetpulse.functions.ordered import running_totals
+from fleetpulse.functions.ordered import grouped_running_totals, running_totals
 from fleetpulse.schema import FEATURE_COLUMNS
+from fleetpulse.session import settle
 
 # Settings of the three classifiers.
 KINDS = ["boosted", "forest", "logistic"]
@@ -36,9 +38,8 @@ def with_split(
 ) -> DataFrame:
     """Add ``split``: train, validation or test.
 
-    A hash assigns the rows, so nothing is shuffled and reruns agree. The split is not
-    stratified: a class keeps its share on average only, and a rare one may differ between
-    the parts. ``by='drive'`` puts all rows of a drive on one side; ``by='row'`` lets one
+    A hash assigns the rows, so nothing is shuffled and reruns agree. A class keeps its
+    share on average only; ``with_stratified_split`` keeps it exactly. ``by='drive'`` puts all rows of a drive on one side; ``by='row'`` lets one
     drive fall on several. ``validation`` is a share of what ``test`` leaves.
     """
     keys = {"drive": ["serial_number"], "row": ["serial_number", "date"]}[by]
@@ -49,6 +50,104 @@ def with_split(
     )
 
 
+DIGITS = 4  # hex digits of a digest that one histogram looks at
+
+
+def smallest_digests(df: DataFrame, group: str, digest: str, counts: dict[object, list[int]]) -> dict[tuple[object, int], str]:
+    """The k-th smallest ``digest`` of a group, for the ``counts`` k of each group.
+
+    A histogram over the first digits finds the bucket that holds the k-th one, a histogram
+    of that bucket the next digits, until a bucket has one row; no row is sorted, and at
+    most one row per group and k comes to the driver each time.
+    """
+    spark = df.sparkSession
+    open_, found = [(g, k, "", k) for g, ks in counts.items() for k in ks if k > 0], {}
+    kind = df.schema[group].dataType.simpleString()
+    length = 0
+    while open_:
+        length += DIGITS
+        wanted = spark.createDataFrame(open_, f"_group {kind}, _k long, _prefix string, _rest long")
+        met = df.join(F.broadcast(wanted), (F.col(group) == F.col("_group")) & F.startswith(F.col(digest), F.col("_prefix")))
+        buckets = met.groupBy("_group", "_k", "_rest", F.left(digest, F.lit(length)).alias("_bucket")).agg(
+            F.count("*").alias("_n"), F.min(digest).alias("_least")
+        )
+        upto = F.sum("_n").over(W.partitionBy("_group", "_k").orderBy("_bucket"))
+        rows = buckets.withColumn("_upto", upto).where((F.col("_upto") >= F.col("_rest")) & (F.col("_upto") - F.col("_n") < F.col("_rest"))).collect()
+        open_ = []
+        for r in rows:
+            if r._n == 1 or len(r._bucket) == len(r._least):
+                found[r._group, r._k] = r._least
+            else:
+                open_.append((r._group, r._k, r._bucket, r._rest - (r._upto - r._n)))
+    return found
+
+
+def with_stratified_split(
+    df: DataFrame, by: str = "drive", test: float = 0.2, validation: float = 0.1, seed: int = SEED
+) -> DataFrame:
+    """Add ``split``: train, validation or test, each with its share of either label, exact to one.
+
+    ``by='row'`` splits the rows of each label; ``by='drive'`` splits the drives that have a
+    positive row and those that have none, and their rows go with them. Of each class the
+    least seeded digests are the test part, the next the validation part, which is a share
+    of what ``test`` leaves; halves are rounded up. Reruns agree, whatever the order of rows.
+    Rows that share their key and label are counted each and fall on one side together.
+    """
+    keys = {"drive": ["serial_number"], "row": ["serial_number", "date"]}[by]
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *keys)).alias("digest")
+    if by == "drive":
+        units = df.groupBy(*keys).agg(F.max("label").alias("class")).select("class", digest, *keys)
+    else:
+        units = df.select(F.col("label").alias("class"), digest, *keys)
+    units = settle(units, "split-units")
+    counts = {}
+    for r in units.groupBy("class").agg(F.count("*").alias("n")).collect():
+        tested = math.floor(r.n * test + 0.5)
+        counts[r["class"]] = [tested, tested + math.floor((r.n - tested) * validation + 0.5)]
+    edges = smallest_digests(units, "class", "digest", counts)
+
+    def upto(place: int) -> Column:
+        """Whether the digest is among the first ones of its class."""
+        out = F.lit(False)
+        for c, ks in counts.items():
+            if (c, ks[place]) in edges:
+                out = F.when(F.col("class") == c, F.col("digest") <= edges[c, ks[place]]).otherwise(out)
+        return out
+
+    split = F.when(upto(0), "test").when(upto(1), "validation").otherwise("train").alias("split")
+    if by == "row":
+        return df.withColumns({"class": F.col("label"), "digest": digest}).select(*df.columns, split)
+    return df.join(units.select(*keys, split), keys)
+
+
+def split_gains(df: DataFrame, columns: list[str] = FEATURE_COLUMNS) -> DataFrame:
+    """The best single threshold of every input: Gini gain, threshold and place, the highest gain first.
+
+    Rows collapse to class counts per (input, value) in one pass over all inputs; running
+    totals along the values give both sides of every threshold. ``value <= threshold`` goes
+    left; of equal gains, to 12 places, the least threshold counts. Inputs with a single
+    value have no threshold and are left out.
+    """
+    cells = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns]
+    histogram = df.select("label", F.inline(F.array(*cells))).groupBy("feature", "value").agg(
+        F.count_if(F.col("label") == 1).alias("positives"), F.count_if(F.col("label") == 0).alias("negatives")
+    )
+    ranked = grouped_running_totals(histogram, "feature", "value", ["positives", "negatives"])
+    whole = ranked.groupBy(F.col("feature").alias("f")).agg(F.sum("positives").alias("p"), F.sum("negatives").alias("n"))
+
+    def impurity(p: Column, n: Column) -> Column:
+        return 1 - F.pow(p / (p + n), 2) - F.pow(n / (p + n), 2)
+
+    p, n = (F.col(c).cast("double") for c in ("p", "n"))
+    left_p, left_n = (F.col(c).cast("double") for c in ("positives_upto", "negatives_upto"))
+    right_p, right_n = p - left_p, n - left_n
+    gain = impurity(p, n) - (left_p + left_n) / (p + n) * impurity(left_p, left_n) - (right_p + right_n) / (p + n) * impurity(right_p, right_n)
+    cuts = ranked.join(whole, F.col("feature") == F.col("f")).where(right_p + right_n > 0)
+    best = cuts.groupBy("feature").agg(F.max(F.struct(F.round(gain, 12).alias("gain"), (-F.col("value")).alias("low"))).alias("best"))
+    place = F.row_number().over(W.orderBy(F.desc("best.gain"), "feature"))
+    return best.select("feature", (-F.col("best.low")).alias("threshold"), F.col("best.gain").alias("gain"), place.alias("place")).orderBy("place")
+
+
 def scaler_statistics(df: DataFrame, columns: list[str] = FEATURE_COLUMNS) -> DataFrame:
     """Mean and population deviation of every column, from one pass."""
     wide = df.agg(*[f(c).alias(f"{c}_{n}") for c in columns for n, f in (("mean", F.avg), ("std", F.stddev_pop))])

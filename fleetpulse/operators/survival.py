@@ -244,17 +244,22 @@ def compare_failure_rates(lives: DataFrame, first: str, second: str) -> DataFram
         count(second, 1).alias("c"),
         count(second, 0).alias("d"),
     )
+    return _tested(table.withColumns({"model_1": F.lit(first), "model_2": F.lit(second)}))
+
+
+def _tested(tables: DataFrame) -> DataFrame:
+    """The test of each row's 2x2 table: a and b failed and surviving of ``model_1``, c and d of ``model_2``."""
     a, b, c, d = (F.col(x) for x in "abcd")
     total = a + b + c + d
     gap = F.greatest(F.abs(a * d - b * c) - total / 2, F.lit(0.0))
     margins = (a + b) * (c + d) * (a + c) * (b + d)
     chi2 = F.try_divide(total * gap * gap, margins)
     return (
-        table.select(
-            F.lit(first).alias("model_1"),
+        tables.select(
+            "model_1",
             a.cast("long").alias("failed_1"),
             b.cast("long").alias("surviving_1"),
-            F.lit(second).alias("model_2"),
+            "model_2",
             c.cast("long").alias("failed_2"),
             d.cast("long").alias("surviving_2"),
             chi2.alias("chi2_statistic"),
@@ -264,6 +269,34 @@ def compare_failure_rates(lives: DataFrame, first: str, second: str) -> DataFram
     )
 
 
+def compare_all_models(lives: DataFrame, min_drives: int = 100, most: int = 1000) -> DataFrame:
+    """``compare_failure_rates`` of every two models with at least ``min_drives`` drives, the lesser name first.
+
+    The counts per model become one sorted list, and each model is paired with those behind
+    it. More than ``most`` models raise a ValueError: their pairs would be too many to read.
+    Drives without a model are left out.
+    """
+    failed = F.count_if(F.col("failed") == 1).cast("double")
+    counts = (
+        lives.where(F.col("model").isNotNull())
+        .groupBy("model")
+        .agg(failed.alias("x"), F.count_if(F.col("failed") == 0).cast("double").alias("y"), F.count("*").alias("n"))
+        .where(F.col("n") >= min_drives)
+    )
+    found = counts.limit(most + 1).count()
+    if found > most:
+        raise ValueError(f"over {most} models have {min_drives} drives: raise min_drives")
+    listed = counts.agg(F.sort_array(F.collect_list(F.struct("model", "x", "y"))).alias("all"))
+    first = listed.select("all", F.posexplode("all").alias("place", "one"))
+    pairs = first.select("one", F.explode(F.slice("all", F.col("place") + 2, F.size("all"))).alias("two"))
+    return _tested(
+        pairs.select(
+            F.col("one.model").alias("model_1"), F.col("one.x").alias("a"), F.col("one.y").alias("b"),
+            F.col("two.model").alias("model_2"), F.col("two.x").alias("c"), F.col("two.y").alias("d"),
+        )
+    )
+
+
 def alert_value(
     caught: Column, false_alarms: Column, failure_cost: float = 7000, inspection_cost: float = 500,
     replacement_cost: float = 200,
