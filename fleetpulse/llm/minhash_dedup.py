@@ -13,6 +13,7 @@ from fleetpulse.session import settle
 
 BANDS, ROWS = 32, 5
 SPACE = 1 << 20
+BEFORE = 8
 
 _SIGNED = "id long, fp long, n_shingles long, s1 long, s2 long, bands array<long>"
 _SCHEMA = pa.schema(
@@ -106,7 +107,9 @@ def shared_rare_shingles(rest: DataFrame, texts: DataFrame, percent: int) -> Dat
     Of two alike sets the rarest 100 - ``percent`` percent and one more of either must meet
     in a shingle, in any common order. Shingles of one text alone meet nothing, so a text
     that has so many of them has no pair at all, and edited copies of one original, each
-    with edits of its own, are not compared with each other.
+    with edits of its own, are not compared with each other. A pair need not meet again at a
+    shingle that has another shared one among the ``BEFORE`` rarer ones ahead of it on both
+    sides; each row carries these and no more, however long its text is.
     """
     held = rest.join(texts, "id").select("id", "c", "n", "text").mapInArrow(_sets, "id long, c long, n long, g long")
     held = settle(held, "sets")
@@ -116,14 +119,15 @@ def shared_rare_shingles(rest: DataFrame, texts: DataFrame, percent: int) -> Dat
     ranked = common.select("id", "c", "n", "g", rank.alias("rank"), F.count("*").over(W.partitionBy("id")).alias("n_common"))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     ranked = ranked.where(F.col("rank") <= prefix - (F.col("n") - F.col("n_common"))).drop("df")
-    whole = W.partitionBy("id").orderBy("rank").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    ranked = ranked.withColumn("held", F.collect_list("g").over(whole)).withColumn("rest", F.col("n_common") - F.col("rank") + 1)
-    other = ranked.select(F.col("id").alias("b"), F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"), F.col("held").alias("held_b"), "g")
+    ahead = W.partitionBy("id").orderBy("rank").rowsBetween(-BEFORE, -1)
+    ranked = ranked.withColumn("ahead", F.collect_list("g").over(ahead)).withColumn("rest", F.col("n_common") - F.col("rank") + 1)
+    other = ranked.select(F.col("id").alias("b"), F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"), F.col("ahead").alias("ahead_b"), "g")
     near = (F.col("id") < F.col("b")) & (F.col("c") != F.col("c_b"))
-    # from the first shingle that both hold, two sets share at most what either has left to share with any other
+    # from the first shingle that both hold, two sets share at most what either has left to share with any other;
+    # at a later one they have less left, so a pair that passes there passes at its first one too
     near &= (100 + percent) * F.least("rest", "rest_b") >= percent * (F.col("n") + F.col("n_b"))
-    near &= F.get(F.array_intersect("held", "held_b"), F.lit(0)) == F.col("g")
-    return ranked.join(other, "g").where(near).select(F.col("id").alias("a"), "b")
+    near &= ~F.arrays_overlap("ahead", "ahead_b")
+    return ranked.join(other, "g").where(near).select(F.col("id").alias("a"), "b").distinct()
 
 
 def link_documents(docs: DataFrame, percent: int = 85, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

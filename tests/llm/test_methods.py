@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import string
 from collections import Counter
 
 import numpy as np
@@ -12,13 +14,23 @@ import corpus_pipeline
 from fleetpulse.llm import minhash_dedup, mixing, packing, quality_rules, suffix_dedup, token_counts, toxicity
 from fleetpulse.llm.components import connected_components
 from fleetpulse.llm.queries import QUERIES, table, vocabulary
-from fleetpulse.llm.shingles import shingle_set
 
 
 def texts(spark, sf_dir):
     return {r.doc_id: r.text or "" for r in table(spark, sf_dir, "documents").collect()}
 
 
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
+
+def word_sets(text):
+    """Five-word shingles as the contract words them."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(LOWER))
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return set(zip(*[words[k:] for k in range(5)], strict=False))
+
+
 def roots(n, links):
     up = dict.fromkeys(n)
 
@@ -43,7 +55,7 @@ def test_components(spark):
 
 
 def test_near_copies_equal_all_pairs(spark, small):
-    sets = {d: set(shingle_set(t.encode()).tolist()) for d, t in texts(spark, small).items()}
+    sets = {d: word_sets(t) for d, t in texts(spark, small).items()}
     links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
     want = roots(sets, links)
     got = QUERIES["op5_minhash_dedup"](spark, small).collect()
@@ -59,12 +71,32 @@ def test_edited_copies_of_one_original(spark):
         for _ in range(r.choice([1, 2, 3, 4, 6])):
             own[r.randrange(150)] = f"new{r.randrange(10**6)}"
         rows.append((k, " ".join(own)))
-    sets = {d: set(shingle_set(t.encode()).tolist()) for d, t in rows}
+    sets = {d: word_sets(t) for d, t in rows}
     links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
     got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {x.doc_id: x.component_id for x in got} == roots(sets, links)
 
 
+def test_long_near_copies(spark):
+    """Three texts of 120,000 words, alike to 0.84, 0.84 and 0.90: no row grows with a text's length."""
+    r = random.Random(3)
+    words = [f"w{r.randrange(10**7)}" for _ in range(120_000)]
+
+    def edited(base, n):
+        own = list(base)
+        for _ in range(n):
+            own[r.randrange(len(own))] = f"x{r.randrange(10**9)}"
+        return own
+
+    one, two = edited(words, 1050), edited(words, 1050)
+    rows = [(0, " ".join(one)), (1, " ".join(two)), (2, " ".join(edited(two, 1250)))]
+    sets = {d: word_sets(t) for d, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    assert links == [(1, 2)]
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == {d: (len(s), roots(sets, links)[d]) for d, s in sets.items()}
+
+
 def test_circulant_signature_estimates_jaccard():
     r = np.random.default_rng(2)
     a = r.integers(0, 2**63, 3000, dtype=np.uint64)
