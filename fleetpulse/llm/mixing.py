@@ -181,6 +181,31 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     )
 
 
+def scheduled_parts(
+    docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, block_words: int = 1024
+) -> DataFrame:
+    """The mix in its order: (slot, rank, source, block, id, fp, first_word, words), a row per document in each use of a block.
+
+    Reading by (slot, source, rank, id, fp) interleaves the sources as their targets ask,
+    with little discrepancy in any stretch. ``first_word`` is the place in the document of
+    the first of its ``words`` in that block. The words of a document add up to ``taken`` of
+    ``mix``. Blocks are joined by (source, block), of which none has more documents than
+    words, so no source gathers in one task.
+    """
+    sized = settle(sizes(docs), "sizes")
+    wanted = settle(targets(sized, weights, share, most), "targets")
+    uses = schedule(wanted, block_words).select("slot", "rank", F.col("source").alias("u_source"), F.col("block").alias("u_block"), F.col("words").alias("used"))
+    placed = shuffled_places(sized).where("size > 0")
+    first, last = F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words)
+    spread = placed.withColumn("block", F.explode(F.sequence(first, last)))
+    begin = F.greatest(F.col("start") - F.col("block") * block_words, F.lit(0))
+    end = F.least(F.col("start") + F.col("size") - F.col("block") * block_words, F.col("used"))
+    same = F.col("source").eqNullSafe(F.col("u_source")) & (F.col("block") == F.col("u_block"))
+    return spread.join(uses, same).where(end > begin).select(
+        "slot", "rank", "source", "block", "id", "fp", (F.col("block") * block_words + begin - F.col("start")).alias("first_word"), (end - begin).cast("long").alias("words")
+    )
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, to the nearest whole copy.
 

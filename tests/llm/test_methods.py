@@ -225,9 +225,41 @@ def test_toxicity_on_held_out_labels(spark, medium):
     assert got.where(F.col("toxic") == F.col("predicted")).count() >= 0.9 * got.count()
 
 
-def test_pipeline(spark, small):
-    docs = texts(spark, small)
-    rows = corpus_pipeline.run(spark, small).collect()
-    assert {r.doc_id for r in rows} <= set(docs) and len({r.sequence_id for r in rows}) == len(rows)
-    kept = {r.doc_id for r in QUERIES["op10_quality_rules"](spark, small).where("kept").collect()}
-    assert {r.doc_id for r in rows} <= kept
+def test_parts_of_the_schedule_add_up(spark, small):
+    docs = table(spark, small, "documents")
+    parts = mixing.scheduled_parts(docs, block_words=64).collect()
+    taken = Counter()
+    for r in parts:
+        taken[r.id] += r.words
+        assert r.words > 0 and r.first_word >= 0
+    rows = mixing.mix(docs, block_words=64).collect()
+    assert {r.id: r.taken for r in rows if r.taken} == taken
+    # any stretch of slots holds the sources in the proportion of their targets
+    target = {r.source: r.target for r in rows}
+    slots = max(r.slot for r in parts)
+    early = Counter()
+    for r in parts:
+        if r.slot < slots // 4:
+            early[r.source] += r.words
+    for source, words in early.items():
+        assert words / sum(early.values()) == pytest.approx(target[source] / sum(target.values()), abs=0.02)
+
+
+def counts_by_hand(text):
+    """op10's columns as the contract words them."""
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    words = word.findall(text)
+    windows = Counter(zip(words, words[1:], words[2:], strict=False))
+    repeated = {k + i for k in range(len(words) - 2) if windows[tuple(words[k : k + 3])] > 1 for i in range(3)}
+    seen, n_dup = set(), 0
+    for line in text.split("\n"):
+        if word.search(line):
+            n_dup += line in seen
+            seen.add(line)
+    base = len(words) < 50 or 100 * len(repeated) > 50 * len(words)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>[]" for c in text if c not in "[]"), n_dup, len(repeated), base
+
+
+def test_rule_counts_equal_brute_force(spark, small):
+    got = {r.doc_id: tuple(r[1:7]) for r in QUERIES["op10_quality_rules"](spark, small).collect()}
+    assert got == {d: counts_by_hand(t) for d, t in texts(spark, small).items()}

@@ -1,10 +1,14 @@
 """Repeated passages inside long sentences and texts without terminators."""
 
+import hashlib
 import random
+import re
+import zlib
 
 import pytest
 
 from fleetpulse.llm import substring_dedup
+from fleetpulse.llm.queries import QUERIES, table
 from fleetpulse.llm.substring_dedup import dedup_substrings, pieces, runs, sentences
 
 
@@ -43,3 +47,49 @@ def test_planted_passages(spark, cut, most):
         assert sum(left) <= 40 * most and max(left) <= 50 and kept[200] == ""
         for k in range(40):
             assert [w for w in rows[40 + k][1].split() if w.startswith("own")] == [w for w in kept[100 + k].split() if w.startswith("own")]
+
+
+def cut_by_hand(text):
+    """Pieces of sentences: a cut after each word that a hash of the word and the one before picks, or after the sixteenth."""
+    out = []
+    for sentence in re.findall(rb"[^.!?\n]*[.!?\n][.!?\x20\x09-\x0D]*|[^.!?\n]+", text.encode()):
+        words = re.findall(rb"\s*\S+\s*", sentence)
+        now, n, before = b"", 0, 0
+        for w in words:
+            now, n, own = now + w, n + 1, zlib.crc32(w.strip().lower())
+            if zlib.crc32(own.to_bytes(4, "little"), before) % 4 == 0 or n == 16:
+                out.append(now)
+                now, n = b"", 0
+            before = own
+        rest = now + sentence[len(b"".join(words)) :]
+        if rest:
+            out.append(rest)
+    return out
+
+
+def test_passage_query_equals_brute_force(spark, small):
+    docs = {r.doc_id: r.text or "" for r in table(spark, small, "documents").collect()}
+    cut = {d: cut_by_hand(t) for d, t in sorted(docs.items())}
+    found = []
+    for d, parts in cut.items():
+        words = [p.lower().split() for p in parts]
+        n = [len(w) for w in words]
+        spans = set()
+        for a in range(len(parts)):
+            end = next((b for b in range(a + 2, len(parts) + 1) if sum(n[a:b]) >= 20), None)
+            spans |= {(a, end)} if end else set()
+            start = next((b for b in range(a - 1, -1, -1) if sum(n[b : a + 1]) >= 20), None)
+            spans |= {(start, a + 1)} if start is not None else set()
+        found += [(d, a, b, b"\n".join(b" ".join(w) for w in words[a:b])) for a, b in spans]
+    first = {}
+    for d, a, _, key in sorted(found):
+        first.setdefault(key, (d, a))
+    gone = {d: set() for d in docs}
+    for d, a, b, key in found:
+        if first[key] != (d, a):
+            gone[d] |= set(range(a, b))
+    got = {r.doc_id: (r.n_pieces, r.n_removed, r.kept_sha256) for r in QUERIES["op2_passage_dedup"](spark, small).collect()}
+    for d, parts in cut.items():
+        kept = b"".join(p for k, p in enumerate(parts) if k not in gone[d])
+        assert got[d] == (len(parts), len(gone[d]), hashlib.sha256(kept).hexdigest()), d
+    assert any(gone.values())
