@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from fleetpulse.operators import degradation, ensembles, features, fleet, keys, learning, quality, scoring, survival
 from fleetpulse.plans import load, reports, training
@@ -262,6 +262,35 @@ def _training_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.class_distribution(stored)
 
 
+def _training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(settle(_training(tables.smart_daily(spark, sf_dir)), "training"))
+
+
+def _null_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL cells that come back from the text form, per column."""
+    back = _exchange_round_trip(spark, sf_dir)
+    return back.agg(F.count("*").alias("rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in ("capacity_bytes", "smart_5_raw", "smart_187_raw")])
+
+
+def _metrics_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _scratch(spark, "metrics")
+    metrics = learning.classification_metrics(_predicted(tables.smart_daily(spark, sf_dir)))
+    metrics.write.json(path)
+    return rounded(spark.read.schema(metrics.schema).json(path).select(*metrics.columns))
+
+
+def _stored_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of an ensemble that was stored as a table and read again."""
+    nodes = settle(_fixed_ensemble(spark), "ensemble")
+    inputs = _raw_inputs(tables.smart_daily(spark, sf_dir))
+    return rounded(ensembles.score_from_table(nodes, inputs, ensembles.boosted_score).select(*SNAPSHOT_KEY, "probability"))
+
+
+def in_order(df: DataFrame) -> DataFrame:
+    """Add ``place``: where a sorted frame of a few rows has each row."""
+    return df.withColumn("_id", F.monotonically_increasing_id()).withColumn("place", F.row_number().over(W.orderBy("_id"))).drop("_id")
+
+
 def _series_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _scratch(spark, "series")
     series = tables.engine(spark, sf_dir)
@@ -378,6 +407,10 @@ SOURCES: dict[str, Query] = {
     ),
     "S8_load_totals": _load_totals,
     "S10_training_round_trip": _training_round_trip,
+    "S10_training_rows": _training_rows,
+    "S14_metrics_file": _metrics_file,
+    "S15_stored_ensemble": _stored_ensemble,
+    "S16_null_markers": _null_markers,
     "S11_series_round_trip": _series_round_trip,
     "S12_labelled_round_trip": _labelled_round_trip,
 }
@@ -386,6 +419,8 @@ REPORTS: dict[str, Query] = {
     "A1_overview": daily(fleet.overview),
     "A1_overview_dates": daily(lambda df: fleet.overview(df, places=6, with_dates=True)),
     "A2_monthly": daily(fleet.monthly),
+    "O1_months_in_order": daily(lambda df: in_order(fleet.monthly(df))),
+    "O4_capacities_in_order": daily(lambda df: in_order(fleet.failures_by_capacity(df, "fine", True, "capacity"))),
     "A3_failure_by_model": daily(fleet.failure_by_model),
     "A3_failure_by_model_short": daily(lambda df: fleet.failure_by_model(df, limit=15, places=2)),
     "A4_weekday": daily(fleet.failures_by_weekday),

@@ -25,12 +25,16 @@ def life_spans(df: DataFrame) -> DataFrame:
 def remaining_life(df: DataFrame) -> DataFrame:
     """Add ``RUL``: cycles left until the engine's last one.
 
-    A map-side maximum joined back to its rows, without a window. Where the maxima are too
-    many to broadcast, the join runs in the task of the maximum, so the adaptive skew split
-    does not reach an engine with very many rows: one task streams it.
+    A map-side maximum joined back to its rows, without a window. The join has one more key
+    than the maximum's grouping, so where the maxima are too many to broadcast it does not
+    run in the grouping's tasks, and the adaptive skew split reaches an engine with very
+    many rows.
     """
+    own = F.xxhash64("engine_id").alias("_own")
+    spans = life_spans(df).select("engine_id", own, "max_cycle")
     return (
-        df.join(life_spans(df), "engine_id")
+        df.select("*", own)
+        .join(spans, ["engine_id", "_own"])
         .withColumn("RUL", F.col("max_cycle") - F.col("cycle"))
         .select(*df.columns, "RUL")
     )
