@@ -1,25 +1,73 @@
 """Packing: documents cut into power-of-two lengths, so no sequence crosses documents."""
 
+import re
+import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Tokenizer
 
-from fleetpulse.llm.common import documents_of
-from fleetpulse.llm.token_counts import Vocabulary
+from fleetpulse.llm.common import Remembered, documents_of
+from fleetpulse.llm.token_counts import Splitter, Vocabulary, byte_letters
 from fleetpulse.session import settle
 
-# The splitting rule of byte-level BPE vocabularies, and the id that ends a document.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Fixed value: the id that ends a document.
 END_ID = 0
 
 
-def encoder(path: str) -> tiktoken.Encoding:
-    """The tokenizer of the file ``path``; special strings in a text become their own ids."""
-    held = Vocabulary(path)
-    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=held.ids, special_tokens=held.special_ids)
+class Encoder:
+    """The ids of the tokenizers library, piece by piece.
+
+    The splitter cuts texts into the pieces that the library tokenizes apart, and the
+    library's model, which does not split again, gives the ids of each distinct piece
+    once. Special strings in a text become their own ids.
+    """
+
+    def __init__(self, path: str, remembered: int = 1_000_000):
+        self.model = Tokenizer.from_file(path).model
+        self.letters = {b: c for c, b in byte_letters().items()}
+        special = Vocabulary(path).special_ids
+        self.special = {text: struct.pack("<I", k) for text, k in special.items()}
+        longest_first = sorted(special, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if special else None
+        self.splitter = Splitter()
+        self.known = Remembered(self.ids, remembered)
+
+    def ids(self, piece: str) -> bytes:
+        found = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        parts: list[str] = []
+        shares = []
+        for text in texts:
+            own = self.cut.split(text) if self.cut and any(s in text for s in self.special) else [text]
+            parts += own[::2]
+            shares.append(own[1::2])
+        pieces, counts = self.splitter.pieces(parts)
+        ids = list(map(self.known.__getitem__, pieces))
+        ends = np.cumsum(counts).tolist()
+        out, part, start = [], 0, 0
+        for between in shares:
+            held = []
+            for special in [*between, None]:
+                held += ids[start : ends[part]]
+                start = ends[part]
+                part += 1
+                if special is not None:
+                    held.append(self.special[special])
+            out.append(b"".join(held))
+        return out
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """What a worker reads once and uses for all its tasks: no result depends on it."""
+    return Encoder(path)
 
 
 def binary_lengths(n: int, longest: int) -> list[int]:
@@ -32,20 +80,21 @@ def _pieces(path: str, longest: int):
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = encoder(path)
         for batch in stream:
-            out: list[tuple] = []
-            held = 0
+            rows, held = [], 0
             for k in range(batch.num_rows):
-                ids = tokenizer.encode(batch["text"][k].as_py(), allowed_special="all")
-                ids = np.array([*ids, END_ID], "<u4")
-                start = 0
-                for length in binary_lengths(len(ids), longest):
-                    out.append((batch["id"][k].as_py(), start, length, ids[start : start + length].tobytes(), len(ids)))
-                    start += length
-                held += start
+                rows.append((batch["id"][k].as_py(), batch["text"][k].as_py()))
+                held += len(rows[-1][1])
                 if held > 1 << 20 or k == batch.num_rows - 1:
+                    out: list[tuple] = []
+                    for (doc_id, _), ids in zip(rows, tokenizer.encode([t for _, t in rows]), strict=True):
+                        ids += struct.pack("<I", END_ID)
+                        size, start = len(ids) // 4, 0
+                        for length in binary_lengths(size, longest):
+                            out.append((doc_id, start, length, ids[4 * start : 4 * (start + length)], size))
+                            start += length
                     columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), _PIECE.types, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, schema=_PIECE)
-                    out, held = [], 0
+                    rows, held = [], 0
 
     return batches
 
