@@ -2,6 +2,7 @@
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from fleetpulse.llm.components import connected_components
 from fleetpulse.session import settle
 
-LEADING, TILE_ROWS, LEAF_ROWS, FANOUT = 4, 4096, 256, 8
+LEADING, TILE_ROWS, LEAF_ROWS, FANOUT = 8, 4096, 256, 8
+# A tile that is half full ends where a cell of so many first dimensions ends.
+CUT_AT = 4
 # Distances are compared in projection with this much slack for rounding.
 SLACK = 1e-6
 
@@ -76,50 +79,81 @@ def principal_directions(units: DataFrame, leading: int) -> dict[int, np.ndarray
 
 
 def _projected(directions: dict[int, np.ndarray], leading: int):
+    """Adds ``p``: the leading coordinates, and the length of what they leave of the vector.
+
+    Two remainders are at least as far apart as their lengths differ, so distances of ``p``
+    are never longer than those of the vectors.
+    """
+
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            rows = np.zeros((batch.num_rows, leading))
+            rows = np.zeros((batch.num_rows, leading + 1))
             for k, (dim, unit) in enumerate(zip(batch["dim"].to_pylist(), batch["unit"].to_pylist(), strict=True)):
                 d = directions[dim]
-                rows[k, : d.shape[1]] = np.frombuffer(unit) @ d
+                rows[k, : d.shape[1]] = own = np.frombuffer(unit) @ d
+                rows[k, -1] = math.sqrt(max(0.0, 1 - own @ own))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(rows), pa.list_(pa.float64()))], names=[*batch.schema.names, "p"])
 
     return batches
 
 
-def _tiles(tile_rows: int):
-    """Cuts each sorted partition into tiles: (part, turn, dim, ids, weights, units, ps, low, high)."""
+def _ball(units: np.ndarray) -> tuple[np.ndarray, float]:
+    """The mean of vectors, and how far the furthest lies from it."""
+    center = units.mean(axis=0)
+    return center, float(np.sqrt(((units - center) ** 2).sum(axis=1).max()))
+
+
+def _tiles(tile_rows: int, eps: float):
+    """Cuts each sorted partition into tiles with their vectors, the box of their ``p`` and the ball around the vectors.
+
+    A tile ends when it is full; when it is half full and a cell of the first dimensions
+    ends; and when it has an eighth of its rows, all of them near its mean so far, and the
+    next vector is not: a tight group is a tile of its own.
+    """
 
     def tile(dim, rows, turn):
         ids, weights, units, ps = zip(*rows, strict=True)
-        p = np.array(ps)
-        return (turn, dim, list(ids), list(weights), b"".join(units), p.tobytes(), p.min(axis=0).tolist(), p.max(axis=0).tolist())
+        p, packed = np.array(ps), b"".join(units)
+        center, radius = _ball(np.frombuffer(packed).reshape(len(ids), -1))
+        values = turn, dim, ids, weights, packed, p.tobytes(), p.min(axis=0), p.max(axis=0), center, radius
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _TILE.types, strict=True)], schema=_TILE)
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        dim, turn = None, 0
+        last, turn = None, 0
+        total, loose = np.zeros(0), False
         for batch in stream:
-            out = []
-            columns = (batch[c].to_pylist() for c in ("dim", "id", "weight", "unit", "p"))
-            for d, *row in zip(*columns, strict=True):
-                if held and (d != dim or len(held) == tile_rows):
-                    out.append(tile(dim, held, turn))
+            columns = (batch[c].to_pylist() for c in ("dim", "cells", "id", "weight", "unit", "p"))
+            for dim, cells, *row in zip(*columns, strict=True):
+                vector = np.frombuffer(row[2])
+                ends = bool(held) and dim != last[0]
+                far = False
+                if held and not ends and not loose:
+                    away = vector - total / len(held)
+                    far = away @ away > eps * eps
+                    ends = far and 8 * len(held) >= tile_rows
+                ends = ends or len(held) == tile_rows or (2 * len(held) >= tile_rows and cells != last[1])
+                if ends:
+                    yield tile(last[0], held, turn)
                     held, turn = [], turn + 1
-                dim = d
+                total = total + vector if held else vector
+                loose = bool(held) and (loose or far)
+                last = dim, cells
                 held.append(tuple(row))
-            for t in out:
-                yield pa.RecordBatch.from_pylist([dict(zip(_TILE.names, t, strict=True))], schema=_TILE)
         if held:
-            yield pa.RecordBatch.from_pylist([dict(zip(_TILE.names, tile(dim, held, turn), strict=True))], schema=_TILE)
+            yield tile(last[0], held, turn)
 
     return batches
 
 
 _TILE = pa.schema(
     [("turn", pa.int64()), ("dim", pa.int32()), ("ids", pa.list_(pa.int64())), ("weights", pa.list_(pa.int64())), ("units", pa.binary()), ("ps", pa.binary())]
-    + [("low", pa.list_(pa.float64())), ("high", pa.list_(pa.float64()))]
+    + [("low", pa.list_(pa.float64())), ("high", pa.list_(pa.float64())), ("center", pa.list_(pa.float64())), ("radius", pa.float64())]
+)
+_TILE_DDL = (
+    "turn long, dim int, ids array<long>, weights array<long>, units binary, ps binary, low array<double>, high array<double>, "
+    "center array<double>, radius double"
 )
-_TILE_DDL = "turn long, dim int, ids array<long>, weights array<long>, units binary, ps binary, low array<double>, high array<double>"
 
 
 def _gap(low_a, high_a, low_b, high_b) -> float:
@@ -149,9 +183,16 @@ def _linked(a, b, same: bool, least: float, eps: float, leaf_rows: int) -> pa.Re
         root_b = root_a
     edges: list[tuple[np.ndarray, np.ndarray]] = []
 
+    @lru_cache(maxsize=None)
+    def bounds(left: bool, start: int, end: int):
+        side = a if left else b
+        p = side[3][start:end]
+        return p.min(axis=0), p.max(axis=0), *_ball(side[2][start:end])
+
     def join(i0, i1, j0, j1):
-        p, q = a[3][i0:i1], b[3][j0:j1]
-        if _gap(p.min(axis=0), p.max(axis=0), q.min(axis=0), q.max(axis=0)) > eps:
+        low_a, high_a, center_a, radius_a = bounds(True, i0, i1)
+        low_b, high_b, center_b, radius_b = bounds(False, j0, j1)
+        if _gap(low_a, high_a, low_b, high_b) > eps or np.linalg.norm(center_a - center_b) - radius_a - radius_b > eps + SLACK:
             return
         if max(i1 - i0, j1 - j0) > leaf_rows:
             if i1 - i0 >= j1 - j0:
@@ -215,14 +256,14 @@ def _thinned(hit: np.ndarray, i0: int, j0: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def _near_tiles(boxes: DataFrame, eps: float, fanout: int) -> DataFrame:
-    """Pairs (a, b) of tiles, a <= b, whose boxes are at most ``eps`` apart.
+    """Pairs (a, b) of tiles, a <= b, whose boxes and balls are at most ``eps`` apart.
 
     Goes down a tree of sequence intervals: the pairs of a level are the children of near
     pairs of the level above, so distant intervals are never opened.
     """
     n = boxes.agg(F.max("tile")).first()[0]
     levels = 0 if n is None else max(0, math.ceil(math.log(n + 1, fanout) - 1e-9))
-    dims = LEADING
+    dims = LEADING + 1
 
     def at(level: int, side: str) -> DataFrame:
         node = F.floor(F.col("tile") / fanout**level).cast("long")
@@ -237,7 +278,30 @@ def _near_tiles(boxes: DataFrame, eps: float, fanout: int) -> DataFrame:
         near = (F.col("a") <= F.col("b")) & (F.col("dima") == F.col("dimb")) & (gap <= (eps + SLACK) ** 2)
         found = pairs.join(a, F.col("pa") == F.col("upa")).join(b, (F.col("pb") == F.col("upb")) & near)
         pairs = settle(found.select(F.col("a").alias("pa"), F.col("b").alias("pb")).distinct(), "tile-pairs")
-    return pairs.select(F.col("pa").alias("a"), F.col("pb").alias("b"))
+    ball = lambda s: boxes.select(F.col("tile").alias(f"t{s}"), F.col("center").alias(f"c{s}"), F.col("radius").alias(f"r{s}"))
+    apart = F.aggregate(F.zip_with("ca", "cb", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, x: total + x)
+    met = pairs.join(ball("a"), F.col("pa") == F.col("ta")).join(ball("b"), F.col("pb") == F.col("tb"))
+    met = met.where(F.sqrt(apart) - F.col("ra") - F.col("rb") <= eps + SLACK)
+    return met.select(F.col("pa").alias("a"), F.col("pb").alias("b"))
+
+
+def sorted_tiles(classes: DataFrame, eps: float, tile_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The tiles of ``classes`` (id, dim, unit, weight) along the epsilon grid order, and their numbers, boxes and balls."""
+    directions = principal_directions(classes, LEADING)
+    n = classes.count()
+    rows = classes.select("id", "dim", "unit", "weight").mapInArrow(_projected(directions, LEADING), "id long, dim int, unit binary, weight long, p array<double>")
+    rows = settle(rows, "projected")
+    cells = [F.floor(F.col("p")[k] / eps).alias(f"cell{k}") for k in range(LEADING)]
+    order = ["dim", *[f"cell{k}" for k in range(LEADING)], "id"]
+    parts = max(1, math.ceil(n / (4 * tile_rows)))
+    ordered = rows.select("*", *cells).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    coarse = F.array(*[f"cell{k}" for k in range(CUT_AT)]).alias("cells")
+    tiles = ordered.select("id", "dim", "unit", "weight", "p", coarse).mapInArrow(_tiles(tile_rows, eps), _TILE_DDL)
+    tiles = settle(tiles.select(F.spark_partition_id().alias("part"), "*"), "tiles")
+    # tiles are numbered along the sorted sequence; there is one row per tile here
+    numbered = tiles.select("part", "turn", "dim", "low", "high", "center", "radius").withColumn("tile", F.row_number().over(W.orderBy("part", "turn")) - 1)
+    boxes = settle(numbered.withColumn("tile", F.col("tile").cast("long")), "boxes")
+    return tiles, boxes
 
 
 def link_vectors(vectors: DataFrame, cosine: float = 0.95, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -246,29 +310,19 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.95, tile_rows: int = TILE
     Equal unit vectors form a class, of which only the smallest id goes on, with the class
     size as its weight. The representatives are sorted by their grid cell of width epsilon
     on the leading principal dimensions, where epsilon is the distance of unit vectors at
-    the threshold; a projection never lengthens a distance, so boxes further apart than
-    that hold no link. Tiles of the sorted sequence are joined along a tree of intervals,
-    and inside a pair of tiles halves are joined down to leaves, whose cosines are computed
-    in double precision. A pair of tiles returns a count and a local root per vector, never
+    the threshold. Neither a projection nor the lengths of what it leaves over lengthen a
+    distance, and vectors lie in the ball around their tile's mean, so tiles whose boxes or
+    balls are further apart than that hold no link. Tiles of the sorted sequence are joined
+    along a tree of intervals, and inside a pair of tiles halves are joined down to leaves,
+    whose cosines are computed in double precision. Vectors without any grouping, in many
+    dimensions, are nearly all within reach of each other's tiles and cost all pairs. A pair of tiles returns a count and a local root per vector, never
     its links. Vectors of different length are not compared.
     """
     eps = math.sqrt(max(0.0, 2 - 2 * cosine)) + SLACK
     units = settle(vectors.select("id", "embedding").mapInArrow(_units, "id long, dim int, unit binary"), "units")
     classes = units.groupBy("dim", "unit").agg(F.min("id").alias("first"), F.count("*").alias("weight"))
     classes = settle(classes.select(F.col("first").alias("id"), "dim", "unit", "weight"), "classes")
-    directions = principal_directions(classes, LEADING)
-    n = classes.count()
-    rows = classes.select("id", "dim", "unit", "weight").mapInArrow(_projected(directions, LEADING), "id long, dim int, unit binary, weight long, p array<double>")
-    rows = settle(rows, "projected")
-    cells = [F.floor(F.col("p")[k] / eps).alias(f"cell{k}") for k in range(LEADING)]
-    order = ["dim", *[f"cell{k}" for k in range(LEADING)], "id"]
-    parts = max(1, math.ceil(n / (4 * tile_rows)))
-    ordered = rows.select("*", *cells).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    tiles = ordered.select("id", "dim", "unit", "weight", "p").mapInArrow(_tiles(tile_rows), _TILE_DDL)
-    tiles = settle(tiles.select(F.spark_partition_id().alias("part"), "*"), "tiles")
-    # tiles are numbered along the sorted sequence; there is one row per tile here
-    numbered = tiles.select("part", "turn", "dim", "low", "high").withColumn("tile", F.row_number().over(W.orderBy("part", "turn")) - 1)
-    boxes = settle(numbered.withColumn("tile", F.col("tile").cast("long")), "boxes")
+    tiles, boxes = sorted_tiles(classes, eps, tile_rows)
     pairs = _near_tiles(boxes, eps, FANOUT)
     placed = boxes.select("part", "turn", "tile").join(tiles.select("part", "turn", "dim", "ids", "weights", "units", "ps"), ["part", "turn"]).drop("part", "turn")
     side = lambda s: placed.select(F.col("tile").alias(s), *([F.col("dim")] if s == "a" else []), *[F.col(c).alias(f"{c}_{s}") for c in ("ids", "weights", "units", "ps")])
