@@ -25,7 +25,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def grams(word: str) -> list[int]:
     """Buckets of the word's character 3- to 5-grams, with its ends marked."""
-    marked = f"<{word[:40]}>" if len(word) <= 40 else f"<{word}>"
+    marked = f"<{word}>"
     return [zlib.crc32(marked[k : k + n].encode()) % BUCKETS for n in (3, 4, 5) for k in range(max(1, len(marked) - n + 1))]
 
 
