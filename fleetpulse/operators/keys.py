@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from fleetpulse.session import settle
 
+MANY_ROWS = 20_000  # a drive has a row a day; one with more has many copies
+
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once. Counts only the key columns, map-side first."""
@@ -33,6 +35,35 @@ def one_row_per_key(
     return df.withColumn("_row", F.row_number().over(w)).where("_row = 1").drop("_row")
 
 
+def busy_keys(df: DataFrame, column: str, rows: int = MANY_ROWS) -> DataFrame:
+    """Values of ``column`` in more than ``rows`` rows, stored: at most one for every so many rows of ``df``."""
+    return settle(df.groupBy(column).agg(F.count("*").alias("_n")).where(F.col("_n") > rows).select(column), "busy-keys")
+
+
+def one_row_per_key_within(
+    df: DataFrame, within: str, keys: list[str], order: list[str], parts: int, busy: DataFrame
+) -> DataFrame:
+    """``one_row_per_key`` in ``parts`` partitions by ``within``, one of the keys, in one shuffle.
+
+    Rows of ``busy`` values of ``within`` go through ``one_row_per_key`` first, which finds the
+    first row of a key map-side, so no partition gets a key's many copies. Rows without a
+    whole key are no copies of each other and all stay.
+    """
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    dealt = df
+    if not busy.isEmpty():
+        listed = busy.select(F.col(within).alias("_busy"))
+        many = (F.col(within) == F.col("_busy")) & whole
+        met = one_row_per_key(df.join(listed, many, "left_semi"), keys, order)
+        dealt = df.join(listed, many, "left_anti").unionByName(met)
+    dealt = dealt.repartition(parts, within)
+    rest = order + [c for c in df.columns if c not in keys and c not in order]
+    first = F.row_number().over(W.partitionBy(*keys).orderBy(*rest))
+    return dealt.withColumn("_row", first).where((F.col("_row") == 1) | ~whole).drop("_row")
+
+
 def surplus_rows(
     df: DataFrame, keys: list[str], order: list[str], repeated: DataFrame | None = None
 ) -> DataFrame:

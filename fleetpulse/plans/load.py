@@ -14,6 +14,8 @@ from fleetpulse.sources.snapshot_store import BucketedStore, around
 from fleetpulse.sources.tables import bucket_count
 from fleetpulse.streaming.drops import each_new_drop
 
+TEXT_PER_BUCKET = 256 * 1024 * 1024  # a reading takes some 110 bytes as text
+
 ORDER = [c for c in SNAPSHOT.fieldNames() if c not in SNAPSHOT_KEY]
 
 
@@ -71,7 +73,7 @@ def load_drops(
     a new table, by default one per core, more as the files grow.
     """
     parsed = settle(read_drops(spark, raw_path, per), "parsed-drops")
-    store(parsed, table, quarantine, batch or f"load-{uuid.uuid4().hex}", buckets or bucket_count(spark, raw_path))
+    store(parsed, table, quarantine, batch or f"load-{uuid.uuid4().hex}", buckets or bucket_count(spark, raw_path, TEXT_PER_BUCKET))
     return load_audit(parsed)
 
 
@@ -87,7 +89,7 @@ def load_new_drops(
     failure changes neither the table nor the quarantine.
     """
     source = hashlib.md5(state.rstrip("/").encode()).hexdigest()[:12]
-    buckets = buckets or bucket_count(spark, raw_path)
+    buckets = buckets or bucket_count(spark, raw_path, TEXT_PER_BUCKET)
 
     def work(parsed: DataFrame, number: int) -> None:
         store(settle(parsed, "parsed-batch"), table, quarantine, f"stream-{source}-{number}", buckets)

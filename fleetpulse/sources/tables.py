@@ -10,14 +10,14 @@ import threading
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window as W
 
 from fleetpulse.functions.ordered import row_numbers
-from fleetpulse.operators.keys import few_repeated_keys, one_row_per_key
+from fleetpulse.operators.keys import busy_keys, one_row_per_key, one_row_per_key_within
 from fleetpulse.schema import SNAPSHOT, SNAPSHOT_KEY
 from fleetpulse.session import shared_folder
 
-BYTES_PER_BUCKET = 256 * 1024 * 1024
+BYTES_PER_BUCKET = 16 * 1024 * 1024  # of Parquet: about a million readings, some 250 MB in a sort
 MAX_BUCKETS = 20_000  # keeps the number of shuffle blocks in hand at load
 TIE_BREAK = ["l_orderkey", "l_linenumber", "l_suppkey", "smart_9_raw"]
 
@@ -29,6 +29,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def serial_number(part_key: Column) -> Column:
+    """The drive that a part stands for: SN and eight digits, or more."""
+    number = part_key.cast("long")
+    digits = F.concat(F.lit("SN"), F.lpad(number.cast("string"), 8, "0"))
+    return F.when(number.between(0, 99_999_999), digits).otherwise(F.format_string("SN%08d", number))
+
+
 def smart_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings as they arrive, with repeated (date, serial_number) keys."""
     item = read_table(spark, sf_dir, "lineitem")
@@ -37,7 +44,7 @@ def smart_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     returned = F.col("l_returnflag") == "R"
     return item.join(part, item.l_partkey == part.p_partkey).select(
         F.to_date("l_shipdate").alias("date"),
-        F.format_string("SN%08d", F.col("l_partkey").cast("long")).alias("serial_number"),
+        serial_number(F.col("l_partkey")).alias("serial_number"),
         F.col("p_type").alias("model"),
         F.when(F.col("p_size") % 17 != 0, F.col("p_size").cast("long") * 400_000_000_000).alias("capacity_bytes"),
         F.when(
@@ -71,12 +78,12 @@ def smart_daily_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_row_per_key(smart_raw(spark, sf_dir), SNAPSHOT_KEY, TIE_BREAK).select(*SNAPSHOT.fieldNames())
 
 
-def bucket_count(spark: SparkSession, path: str) -> int:
+def bucket_count(spark: SparkSession, path: str, bytes_per_bucket: int = BYTES_PER_BUCKET) -> int:
     """Buckets for a table derived from ``path``: one per core, more as its files grow."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     size = files.agg(F.sum("length")).first()[0] or 0
     cores = spark.sparkContext.defaultParallelism
-    return min(max(cores, math.ceil(size / BYTES_PER_BUCKET)), MAX_BUCKETS)
+    return min(max(cores, math.ceil(size / bytes_per_bucket)), MAX_BUCKETS)
 
 
 def smart_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,11 +96,11 @@ def smart_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     def store(name: str, path: str) -> None:
         buckets = bucket_count(spark, os.path.join(sf_dir, "lineitem.parquet"))
         readings = smart_raw(spark, sf_dir)
-        repeated = few_repeated_keys(readings, SNAPSHOT_KEY)
+        parts = busy_keys(read_table(spark, sf_dir, "lineitem").select("l_partkey"), "l_partkey")
+        busy = parts.select(serial_number(F.col("l_partkey")).alias("serial_number"))
         (
-            one_row_per_key(readings, SNAPSHOT_KEY, TIE_BREAK, repeated)
+            one_row_per_key_within(readings, "serial_number", SNAPSHOT_KEY, TIE_BREAK, buckets, busy)
             .select(*SNAPSHOT.fieldNames())
-            .repartition(buckets, "serial_number")
             .write.bucketBy(buckets, "serial_number")
             .sortBy("serial_number", "date")
             .option("path", path)
