@@ -80,8 +80,9 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     headers, cells = _columns_of(settle(file_headers(lines), "headers"))
     rows = lines.join(headers, FILE).where((F.trim("value") != "") & (F.col("value") != F.col("header")))
     parsed = F.from_csv("value", ", ".join(f"{c} string" for c in cells))
-    rows = rows.select(FILE, "places", parsed.alias("cells"))
-    rows = rows.select(FILE, "places", F.array(*[F.col(f"cells.{c}") for c in cells]).alias("cells"))
+    # Generated, so that a filter on what is read from a line does not parse it again for every column.
+    rows = rows.select(FILE, "places", F.inline(F.array(parsed)))
+    rows = rows.select(FILE, "places", F.array(*cells).alias("cells"))
 
     def text(name: str) -> Column:
         return F.get("cells", F.col(f"places.{name}") - 1)
