@@ -47,7 +47,7 @@ def one_row_per_key_within(
 
     Rows of ``busy`` values of ``within`` go through ``one_row_per_key`` first, which finds the
     first row of a key map-side, so no partition gets a key's many copies. Rows without a
-    whole key are no copies of each other and all stay.
+    whole key are no copies of each other: all stay, in the order they come in.
     """
     whole = F.lit(True)
     for k in keys:
@@ -58,10 +58,10 @@ def one_row_per_key_within(
         many = (F.col(within) == F.col("_busy")) & whole
         met = one_row_per_key(df.join(listed, many, "left_semi"), keys, order)
         dealt = df.join(listed, many, "left_anti").unionByName(met)
-    dealt = dealt.repartition(parts, within)
+    dealt = dealt.repartition(parts, within).withColumn("_alone", F.when(~whole, F.monotonically_increasing_id()))
     rest = order + [c for c in df.columns if c not in keys and c not in order]
-    first = F.row_number().over(W.partitionBy(*keys).orderBy(*rest))
-    return dealt.withColumn("_row", first).where((F.col("_row") == 1) | ~whole).drop("_row")
+    first = F.row_number().over(W.partitionBy(*keys, "_alone").orderBy(*rest))
+    return dealt.withColumn("_row", first).where("_row = 1").drop("_row", "_alone")
 
 
 def surplus_rows(
