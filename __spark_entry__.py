@@ -310,26 +310,16 @@ def _engine_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return degradation.engine_tables(tables.engine(spark, sf_dir), "EVENTS")[0]
 
 
-_compared: dict[tuple[str, str], tuple] = {}
-
-
-def _models(spark: SparkSession, sf_dir: str) -> tuple:
-    """The comparison of the three classifiers and the classifiers, trained once per session and tables."""
-    slot = spark.conf.get("spark.app.id"), os.path.abspath(sf_dir)
-    if slot not in _compared:
-        comparison, models = training.compare_models(_training(tables.smart_daily(spark, sf_dir)))
-        _compared[slot] = settle(comparison, "comparison"), models
-    return _compared[slot]
-
-
 def _comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_models(spark, sf_dir)[0])
+    comparison, _ = training.compare_models(_training(tables.smart_daily(spark, sf_dir)))
+    return rounded(settle(comparison, "comparison"))
 
 
 def _auc_by_round(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AUC on the validation part after each of the boosted model's rounds."""
-    model = _models(spark, sf_dir)[1]["boosted"]
-    validation = _matrix(tables.smart_daily(spark, sf_dir)).where(F.col("split") == "validation")
+    """AUC on the validation part after each of the boosted model's rounds; the other two models have no part in it."""
+    matrix = settle(_matrix(tables.smart_daily(spark, sf_dir)), "matrix")
+    model = learning.train(matrix.where(F.col("split") == "train"), "boosted")
+    validation = matrix.where(F.col("split") == "validation")
     inputs = settle(ensembles.scaled_inputs(model, validation).select("label", "inputs"), "validation-inputs")
     return rounded(ensembles.auc_by_round(ensembles.ensemble_nodes(model), inputs))
 
@@ -362,7 +352,7 @@ def _two_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored predictions from one model per horizon."""
     df = tables.smart_daily(spark, sf_dir)
     table = settle(_training(df), "training")
-    requests = features.latest_features(df)
+    requests = settle(features.latest_features(df), "requests")
     day = F.lit("2002-01-01").cast("date")
     scored = []
     for target in ("will_fail_30d", "will_fail_60d"):

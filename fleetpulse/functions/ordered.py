@@ -65,6 +65,15 @@ def running_totals(
     )
 
 
+def places_below(edges: Column, value: Column, most: int) -> Column:
+    """How many of at most ``most`` ascending ``edges`` are below ``value``, by halving."""
+    steps = [1 << k for k in reversed(range(most.bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda at, step: F.when(F.get(edges, at + step - 1) < value, at + step).otherwise(at),
+    )
+
+
 def grouped_running_totals(
     histogram: DataFrame, by: str, value: str, totals: list[str], slices: int = 256
 ) -> DataFrame:
@@ -75,9 +84,9 @@ def grouped_running_totals(
     """
     histogram = settle(histogram.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))), "histograms")
     shares = [i / slices for i in range(1, slices)]
-    edges = histogram.groupBy(F.col(by).alias("_by")).agg(F.array_distinct(F.percentile_approx(value, shares, 10 * slices)).alias("_edges"))
-    place = F.size(F.filter("_edges", lambda e: e < F.col(value)))
-    sliced = histogram.join(edges, F.col(by) == F.col("_by")).withColumn("_slice", place).drop("_by", "_edges")
+    held = histogram.groupBy(F.col(by).alias("_by")).agg(F.array_distinct(F.percentile_approx(value, shares, 10 * slices)).alias("_edges"))
+    place = places_below(F.col("_edges"), F.col(value), slices)
+    sliced = histogram.join(held, F.col(by) == F.col("_by")).withColumn("_slice", place).drop("_by", "_edges")
     ahead = W.partitionBy(by).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy(by, "_slice")

@@ -25,6 +25,7 @@ LOGISTIC_ITERATIONS = 1000
 LOGISTIC_TOLERANCE = 1e-5
 LOGISTIC_PENALTY = 1.0
 SEED = 42
+PART_BYTES = 256 * 1024 * 1024  # of a training partition as the trees keep it
 
 
 def unit_hash(seed: int, *columns: str) -> Column:
@@ -202,14 +203,27 @@ def classifier(kind: str, samples: int, rounds: int = ROUNDS, seed: int = SEED):
     raise ValueError(f"unknown classifier {kind!r}")
 
 
+def training_parts(kind: str, samples: int, inputs: int, rounds: int) -> int:
+    """Partitions that keep what a task holds of the samples within ``PART_BYTES``.
+
+    Trees keep every row in memory with its bins, and a forest with a count for each of its trees.
+    """
+    row = 16 * inputs + (4 * rounds if kind == "forest" else 0)
+    return math.ceil(samples * row / PART_BYTES)
+
+
 def train(
     df: DataFrame, kind: str = "boosted", columns: list[str] = FEATURE_COLUMNS, rounds: int = ROUNDS
 ) -> PipelineModel:
     """Fit scaler and classifier on a training matrix."""
+    samples = df.count()
+    parts = training_parts(kind, samples, len(columns), rounds)
+    if parts > df.sparkSession.sparkContext.defaultParallelism:  # a stored matrix is read in so many at least
+        df = df.repartition(parts)
     steps = [
         VectorAssembler(inputCols=columns, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-        classifier(kind, df.count(), rounds),
+        classifier(kind, samples, rounds),
     ]
     return Pipeline(stages=steps).fit(weighted(df, kind))
 

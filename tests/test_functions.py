@@ -85,3 +85,11 @@ def test_row_numbers_of_a_hot_key(spark):
         by_key.setdefault(k, []).append((at, i))
     want = {(k, i): n for k, v in by_key.items() for n, (_, i) in enumerate(sorted(v), start=1)}
     assert {(r.k, r.id): r.n for r in got} == want
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 255, 256])
+def test_places_below(spark, n):
+    edges = [k * 0.5 for k in range(n)]
+    df = spark.createDataFrame([(edges, v / 4) for v in range(-2, 2 * n + 3)], "edges array<double>, v double")
+    slow = F.size(F.filter("edges", lambda e: e < F.col("v")))
+    assert df.where(ordered.places_below(F.col("edges"), F.col("v"), 256) != slow).isEmpty()
