@@ -181,8 +181,7 @@ def _mixed_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored_daily(spark: SparkSession, sf_dir: str) -> str:
     path = _scratch(spark, "stored")
-    buckets = tables.bucket_count(spark, os.path.join(sf_dir, "lineitem.parquet"))
-    snapshot_store.BucketedStore(spark, path, buckets).write(tables.smart_daily(spark, sf_dir), "given")
+    snapshot_store.BucketedStore(spark, path, tables.reading_buckets(spark, sf_dir)).write(tables.smart_daily(spark, sf_dir), "given")
     return path
 
 

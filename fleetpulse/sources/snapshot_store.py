@@ -77,10 +77,18 @@ class BucketedStore:
         replaced = F.coalesce(F.array_contains("_gone", F.struct("date", F.col("batch").alias("gone_batch"))), F.lit(False))
         return stored.join(lists, "serial_number", "left").where(~replaced).select(*stored.columns)
 
+    def dealt(self, df: DataFrame, batch: str) -> DataFrame:
+        """The rows of load ``batch``, a partition for each bucket, wherever ``df`` comes from.
+
+        Spark leaves out a shuffle by drive of a table bucketed alike, and then reads that
+        table by the size of its files; one by the bucket's number stays.
+        """
+        rows = df.select(*SNAPSHOT.fieldNames(), quarter_of(F.col("date")).alias("quarter"), F.lit(batch).alias("batch"))
+        return rows.repartitionById(self.buckets, F.pmod(F.hash("serial_number"), F.lit(self.buckets)))
+
     def write(self, df: DataFrame, batch: str) -> None:
         """The rows of load ``batch``, in place of what an earlier try of it wrote; one shuffle."""
-        dealt = df.select(*SNAPSHOT.fieldNames(), quarter_of(F.col("date")).alias("quarter"), F.lit(batch).alias("batch"))
-        dealt.repartition(self.buckets, "serial_number").write.mode("overwrite").insertInto(self.name)
+        self.dealt(df, batch).write.mode("overwrite").insertInto(self.name)
 
     def supersede(self, replaced: DataFrame, batch: str) -> None:
         """Note the rows (date, serial_number, gone_batch) that load ``batch`` replaces."""

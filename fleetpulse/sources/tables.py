@@ -18,6 +18,7 @@ from fleetpulse.schema import SNAPSHOT, SNAPSHOT_KEY
 from fleetpulse.session import shared_folder
 
 BYTES_PER_BUCKET = 16 * 1024 * 1024  # of Parquet: about a million readings, some 250 MB in a sort
+ROWS_PER_BUCKET = 500_000  # of readings, whatever their files' compression: some 200 MB in the store's two sorts
 MAX_BUCKETS = 20_000  # keeps the number of shuffle blocks in hand at load
 TIE_BREAK = ["l_orderkey", "l_linenumber", "l_suppkey", "smart_9_raw"]
 
@@ -40,13 +41,41 @@ def smart_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings as they arrive, with repeated (date, serial_number) keys."""
     item = read_table(spark, sf_dir, "lineitem")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
+    return item.join(part, item.l_partkey == part.p_partkey).select(*_reading(serial_number(F.col("l_partkey")), _capacity()))
+
+
+def smart_raw_by_drive(spark: SparkSession, sf_dir: str, buckets: int) -> DataFrame:
+    """``smart_raw`` in ``buckets`` partitions by drive: lines are shuffled once, as they are, and meet their parts there.
+
+    However many parts there are, a partition holds only its own.
+    """
+    lines = read_table(spark, sf_dir, "lineitem").where(F.col("l_partkey").isNotNull()).select(
+        serial_number(F.col("l_partkey")).alias("serial_number"), "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate",
+        "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
+    )
+    parts = read_table(spark, sf_dir, "part").where(F.col("p_partkey").isNotNull()).select(
+        serial_number(F.col("p_partkey")).alias("_drive"), "p_type", "p_size"
+    )
+    # What is computed above the shuffles keeps their number of partitions for the join.
+    lines = lines.repartition(buckets, "serial_number").withColumn("l_shipdate", F.to_date("l_shipdate"))
+    parts = parts.repartition(buckets, "_drive").withColumn("_capacity", _capacity())
+    joined = lines.join(parts.hint("shuffle_hash"), lines.serial_number == parts._drive)
+    return joined.select(*_reading(F.col("serial_number"), F.col("_capacity")))
+
+
+def _capacity() -> Column:
+    return F.when(F.col("p_size") % 17 != 0, F.col("p_size").cast("long") * 400_000_000_000)
+
+
+def _reading(serial: Column, capacity: Column) -> list[Column | str]:
+    """The columns of a reading, from a line item joined with its part."""
     quantity = F.col("l_quantity").cast("long")
     returned = F.col("l_returnflag") == "R"
-    return item.join(part, item.l_partkey == part.p_partkey).select(
+    return [
         F.to_date("l_shipdate").alias("date"),
-        serial_number(F.col("l_partkey")).alias("serial_number"),
+        serial.alias("serial_number"),
         F.col("p_type").alias("model"),
-        F.when(F.col("p_size") % 17 != 0, F.col("p_size").cast("long") * 400_000_000_000).alias("capacity_bytes"),
+        capacity.alias("capacity_bytes"),
         F.when(
             returned & (F.col("l_linestatus") == "F") & (F.col("l_quantity") >= 47) & (F.col("l_linenumber") >= 4), 1
         ).otherwise(0).alias("failure"),
@@ -70,7 +99,7 @@ def smart_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
         "l_suppkey",
-    )
+    ]
 
 
 def smart_daily_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +115,13 @@ def bucket_count(spark: SparkSession, path: str, bytes_per_bucket: int = BYTES_P
     return min(max(cores, math.ceil(size / bytes_per_bucket)), MAX_BUCKETS)
 
 
+def reading_buckets(spark: SparkSession, sf_dir: str) -> int:
+    """Buckets for the readings: by the bytes of their files, and at most half a million rows each."""
+    rows = read_table(spark, sf_dir, "lineitem").count()  # kept in the files' footers
+    buckets = max(bucket_count(spark, os.path.join(sf_dir, "lineitem.parquet")), math.ceil(rows / ROWS_PER_BUCKET))
+    return min(buckets, MAX_BUCKETS)
+
+
 def smart_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact table: loaded once per session, then scanned by every query.
 
@@ -94,9 +130,10 @@ def smart_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     unique, which bounds a drive's rows by the number of days.
     """
     def store(name: str, path: str) -> None:
-        buckets = bucket_count(spark, os.path.join(sf_dir, "lineitem.parquet"))
-        readings = smart_raw(spark, sf_dir)
+        buckets = reading_buckets(spark, sf_dir)
         parts = busy_keys(read_table(spark, sf_dir, "lineitem").select("l_partkey"), "l_partkey")
+        # The many lines of a busy part must not meet in one task before their copies are gone.
+        readings = smart_raw_by_drive(spark, sf_dir, buckets) if parts.isEmpty() else smart_raw(spark, sf_dir)
         busy = parts.select(serial_number(F.col("l_partkey")).alias("serial_number"))
         (
             one_row_per_key_within(readings, "serial_number", SNAPSHOT_KEY, TIE_BREAK, buckets, busy)
