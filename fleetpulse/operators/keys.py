@@ -60,7 +60,9 @@ def one_row_per_key_within(
         dealt = df.join(listed, many, "left_anti").unionByName(met)
     dealt = dealt.repartition(parts, within).withColumn("_alone", F.when(~whole, F.monotonically_increasing_id()))
     rest = order + [c for c in df.columns if c not in keys and c not in order]
-    first = F.row_number().over(W.partitionBy(*keys, "_alone").orderBy(*rest))
+    # ``within`` leads, so that rows leave in its order and a table sorted by it finds them sorted.
+    by = [within, *[k for k in keys if k != within]]
+    first = F.row_number().over(W.partitionBy(*by, "_alone").orderBy(*rest))
     return dealt.withColumn("_row", first).where("_row = 1").drop("_row", "_alone")
 
 
