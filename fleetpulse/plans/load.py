@@ -14,7 +14,7 @@ from fleetpulse.sources.snapshot_store import BucketedStore, around
 from fleetpulse.sources.tables import bucket_count
 from fleetpulse.streaming.drops import each_new_drop
 
-TEXT_PER_BUCKET = 256 * 1024 * 1024  # a reading takes some 110 bytes as text
+TEXT_PER_BUCKET = 64 * 1024 * 1024  # a reading takes some 110 bytes as text
 
 ORDER = [c for c in SNAPSHOT.fieldNames() if c not in SNAPSHOT_KEY]
 
@@ -32,12 +32,14 @@ def store(parsed: DataFrame, table: str, quarantine: str, batch: str, buckets: i
     target = BucketedStore(parsed.sparkSession, table, buckets)
     usable = accepted(parsed)
     repeated = few_repeated_keys(usable, SNAPSHOT_KEY)
+    several = settle(usable.join(repeated, SNAPSHOT_KEY, "left_semi").select(*usable.columns), "repeated-rows")
+    single = usable.join(repeated, SNAPSHOT_KEY, "left_anti").select(*usable.columns)
     once = F.lit(1).cast("long")
     out = (
         rejected(parsed).drop(FILE).withColumn("copies", once)
-        .unionByName(surplus_rows(usable, SNAPSHOT_KEY, ORDER, repeated).withColumn(REASON, F.lit("repeated key")))
+        .unionByName(surplus_rows(several, SNAPSHOT_KEY, ORDER).withColumn(REASON, F.lit("repeated key")))
     )
-    unique = one_row_per_key(usable, SNAPSHOT_KEY, ORDER, repeated)
+    unique = single.unionByName(one_row_per_key(several, SNAPSHOT_KEY, ORDER))
     better = None
     if not new:
         stored = around(target.rows(but=batch), usable)

@@ -2,8 +2,10 @@
 
 import os
 
+from fleetpulse.plans import load
 from fleetpulse.plans.load import load_drops, load_new_drops
 from fleetpulse.sources import snapshot_store
+from fleetpulse.sources.tables import bucket_count
 
 HEADER = "date,serial_number,model,capacity_bytes,failure,smart_5_raw,smart_9_raw"
 FILES = [
@@ -31,3 +33,22 @@ def test_batches_store_the_same_rows(spark, tmp_path):
         assert [(r.serial_number, r.smart_5_raw, r.smart_9_raw) for r in rows] == [("A", 1, 7), ("B", None, 8), ("C", None, 3)], n
         out = spark.read.parquet(refused[n]).orderBy("serial_number", "smart_5_raw").collect()
         assert [(r.serial_number, r.smart_5_raw, r.copies) for r in out] == [("A", 4, 1), ("A", 9, 1), ("B", 2, 1), ("B", 3, 1), ("C", 5, 1)], n
+
+
+def test_rows_of_repeated_keys_are_looked_up_once(spark, tmp_path, monkeypatch):
+    raw = tmp_path / "drops"
+    raw.mkdir()
+    (raw / "0.csv").write_text(f"{HEADER}\n{''.join(FILES)}")
+    stored = []
+    whole = load.settle
+    monkeypatch.setattr(load, "settle", lambda df, name: stored.append((name, whole(df, name))) or stored[-1][1])
+    load.load_drops(spark, str(raw), str(tmp_path / "table"), str(tmp_path / "refused"))
+    found = dict(stored)["repeated-rows"]
+    assert sorted(r.serial_number for r in found.collect()) == ["A"] * 3 + ["B"] * 3 + ["C"] * 2
+
+
+def test_buckets_of_text_hold_fewer_than_a_million_readings(spark, tmp_path):
+    (tmp_path / "drops").mkdir()
+    with open(tmp_path / "drops" / "0.csv", "wb") as f:
+        f.truncate(4 << 30)  # a sparse file: only its length counts
+    assert bucket_count(spark, str(tmp_path / "drops"), load.TEXT_PER_BUCKET) >= (4 << 30) // 110 // 1_000_000
