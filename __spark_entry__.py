@@ -355,7 +355,7 @@ def _two_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.lit("2002-01-01").cast("date")
     scored = []
     for target in ("will_fail_30d", "will_fail_60d"):
-        matrix = learning.with_split(features.training_matrix(table, target)).where(F.col("split") == "train")
+        matrix = settle(learning.with_split(features.training_matrix(table, target)).where(F.col("split") == "train"), "train")
         model = learning.train(matrix, "forest")
         scored.append(scoring.score_batch(requests, scoring.model_scorer(model), day))
     return rounded(scoring.prediction_rows(*scored, day, "forest").drop("created_at"))

@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from fleetpulse.functions.ordered import grouped_running_totals, running_totals
+from fleetpulse.operators import trees
 from fleetpulse.schema import FEATURE_COLUMNS
 from fleetpulse.session import settle
 
@@ -220,12 +221,15 @@ def train(
     parts = training_parts(kind, samples, len(columns), rounds)
     if parts > df.sparkSession.sparkContext.defaultParallelism:  # a stored matrix is read in so many at least
         df = df.repartition(parts)
-    steps = [
+    scaler = [
         VectorAssembler(inputCols=columns, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-        classifier(kind, samples, rounds),
     ]
-    return Pipeline(stages=steps).fit(weighted(df, kind))
+    estimator, table = classifier(kind, samples, rounds), weighted(df, kind)
+    if kind == "logistic":
+        return Pipeline(stages=[*scaler, estimator]).fit(table)
+    scaling = Pipeline(stages=scaler).fit(table)
+    return PipelineModel([*scaling.stages, trees.fit(estimator, scaling.transform(table))])
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
